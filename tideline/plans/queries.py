@@ -134,10 +134,10 @@ def q_dedupe_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dedupe_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "dedupe-job")
     revisions = _revisions(spark, sf_dir).withColumn("pane", F.lit("on_time"))
-    write_revisions(revisions, f"{base}/raw", "hour")
-    raw = scan_table(spark, f"{base}/raw", raw_schema("hour"))
-    dedupe(spark, f"{base}/raw", touched_minutes(raw), f"{base}/clean", "hour")
-    return as_text(scan_table(spark, f"{base}/clean", clean_schema("hour")), "rt")
+    write_revisions(revisions, f"{base}/raw", "day")
+    raw = scan_table(spark, f"{base}/raw", raw_schema("day"))
+    dedupe(spark, f"{base}/raw", touched_minutes(raw), f"{base}/clean", "day")
+    return as_text(scan_table(spark, f"{base}/clean", clean_schema("day")), "rt")
 
 
 def q_reconciled_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,13 +194,13 @@ def q_stream_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, _ = replay_stream(
         spark, two_waves(spark, sf_dir), 2, gap=WIDE_GAP, lateness=60 * DAYS, max_skew=60 * DAYS
     )
-    return as_text(scan_table(spark, raw, raw_schema("hour")), "pane")
+    return as_text(scan_table(spark, raw, raw_schema("day")), "pane")
 
 
 def q_stream_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = arrival_thirds(messages(spark, sf_dir, delay_per_value=60))
     _, clean = replay_stream(spark, rows, 3, gap=WIDE_GAP, early=True, dedupe_each_wave=True)
-    return as_text(reconcile(scan_table(spark, clean, clean_schema("hour")), WIDE_GAP))
+    return as_text(reconcile(scan_table(spark, clean, clean_schema("day")), WIDE_GAP))
 
 
 def q_stream_final_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ def replay_stream(
     spark: SparkSession,
     messages: DataFrame,
     waves: int,
-    grain: str = "hour",
+    grain: str = "day",
     dedupe_each_wave: bool = False,
     **session_options,
 ) -> tuple[str, str]:

@@ -8,7 +8,6 @@ error text, so one bad message does not fail its task.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -20,9 +19,8 @@ MESSAGE_FIELDS = {"timestamp": 1, "session_id": 2, "message_name": 3, "message_v
 TIMESTAMP_TYPE = ".google.protobuf.Timestamp"
 
 
-@lru_cache(maxsize=1)
 def message_class():
-    """Message type built from `MESSAGE_FIELDS`, once per Python worker."""
+    """Message type built from `MESSAGE_FIELDS`."""
     from google.protobuf import descriptor_pb2, descriptor_pool, message_factory, timestamp_pb2
 
     pool = descriptor_pool.DescriptorPool()
@@ -43,13 +41,13 @@ def message_class():
     return message_factory.GetMessageClass(pool.FindMessageTypeByName("tideline.Message"))
 
 
-def _decode_one(payload: bytes | None):
+def _decode_one(kind, payload: bytes | None):
     from google.protobuf.message import DecodeError
 
     if payload is None:
         return None, None, None, None, "no payload"
     try:
-        m = message_class().FromString(payload)
+        m = kind.FromString(payload)
     except (DecodeError, UnicodeDecodeError) as error:
         return None, None, None, None, str(error) or "undecodable payload"
     seconds = m.timestamp.seconds if m.HasField("timestamp") else None
@@ -61,8 +59,9 @@ def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         ("session_id", pa.string()), ("message_name", pa.string()), ("message_value", pa.string()),
         ("event_sec", pa.int64()), ("error", pa.string()),
     ]
+    kind = message_class()
     for batch in batches:
-        rows = [_decode_one(p) for p in batch.column("payload").to_pylist()]
+        rows = [_decode_one(kind, p) for p in batch.column("payload").to_pylist()]
         decoded = zip(*rows) if rows else [[] for _ in columns]
         arrays = [pa.array(list(v), t) for v, (_, t) in zip(decoded, columns)]
         names = [name for name, _ in columns]
@@ -85,8 +84,8 @@ def decode_messages(payloads: DataFrame) -> DataFrame:
     return decoded.select(*MESSAGE.fieldNames(), "error")
 
 
-def _encode_one(seconds, session_id, message_name, message_value) -> bytes:
-    m = message_class()(
+def _encode_one(kind, seconds, session_id, message_name, message_value) -> bytes:
+    m = kind(
         session_id=session_id or "", message_name=message_name or "", message_value=message_value or ""
     )
     if seconds is not None:
@@ -95,12 +94,13 @@ def _encode_one(seconds, session_id, message_name, message_value) -> bytes:
 
 
 def _encode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kind = message_class()
     for batch in batches:
         columns = [
             batch.column(c).to_pylist()
             for c in ("event_sec", "session_id", "message_name", "message_value")
         ]
-        payload = pa.array([_encode_one(*row) for row in zip(*columns)], pa.binary())
+        payload = pa.array([_encode_one(kind, *row) for row in zip(*columns)], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [payload, batch.column("arrival")], names=["payload", "arrival"]
         )
