@@ -89,4 +89,4 @@ def replay_final(
                 .start()
                 .awaitTermination()
             )
-    return spark.read.schema(SESSION).parquet(out)
+    return spark.read.schema(SESSION).parquet(out).select(*SESSION.fieldNames())
