@@ -2,20 +2,20 @@
 
 State per key is the list of its open sessions as (start, last, fired, counts): counts per
 name, never messages. A key holds at most one session per gap within the retention time.
+The list is kept as JSON text, which crosses to the state store as one value; a nested row
+would be converted field by field on the way.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE = (
-    "due bigint, "
-    "sessions array<struct<start: bigint, last: bigint, fired: boolean, counts: map<string, bigint>>>"
-)
+STATE = "due bigint, sessions string"
 
 
 @dataclass
@@ -85,7 +85,7 @@ class SessionRevisions(StatefulProcessor):
         if stored is None:
             return None, []
         due, sessions = stored
-        return due, [Session(start, last, fired, dict(counts)) for start, last, fired, counts in sessions]
+        return due, [Session(*fields) for fields in json.loads(sessions)]
 
     def _save(self, due: int | None, sessions: list[Session]) -> None:
         if not sessions:
@@ -96,7 +96,8 @@ class SessionRevisions(StatefulProcessor):
         if due is None or earliest < due:
             self.handle.registerTimer(earliest * 1_000)
             due = earliest
-        self.state.update((due, [(s.start, s.last, s.fired, s.counts) for s in sessions]))
+        fields = [(s.start, s.last, s.fired, s.counts) for s in sessions]
+        self.state.update((due, json.dumps(fields, separators=(",", ":"))))
 
     def _row(self, key: tuple, s: Session, pane: str) -> Row:
         return Row(
