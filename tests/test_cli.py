@@ -1,3 +1,5 @@
+import time
+
 from helpers import T0, message_frame
 
 from tideline import __main__ as cli
@@ -5,7 +7,8 @@ from tideline.model import clean_schema
 from tideline.sources.partitions import scan_table
 
 
-def test_jobs_from_the_command_line(spark, folder):
+def test_jobs_from_the_command_line(spark, folder, caplog):
+    caplog.set_level("INFO", logger="tideline.progress")
     rows = [("1", "a", 0, 0), ("1", "b", 5, 5), ("1", "bad", None, 5), ("2", "t", 500, 500)]
     message_frame(spark, rows).write.parquet(f"{folder}/in")
     raw, clean = f"{folder}/raw", f"{folder}/clean"
@@ -22,3 +25,8 @@ def test_jobs_from_the_command_line(spark, folder):
         "--output-root", f"{folder}/clean2", "--checkpoint", f"{folder}/c2", "--until-done",
     ])
     assert scan_table(spark, f"{folder}/clean2", clean_schema()).count() == 1
+    wait_for = time.monotonic() + 20
+    while "'on_time': 1" not in caplog.text and time.monotonic() < wait_for:
+        time.sleep(0.2)
+    assert "session-revisions batch 0 messages {'rows': 4, 'rejected': 1" in caplog.text
+    assert "'on_time': 1" in caplog.text

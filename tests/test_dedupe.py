@@ -81,7 +81,8 @@ def test_job_takes_one_shuffle(spark, folder):
     from tideline.plans.dedupe_job import deduplicated
 
     write_revisions(revisions(spark, ROWS), folder)
-    plan = deduplicated(scan_partitions(spark, folder, seconds_frame(spark, [T0])))
+    rows = scan_partitions(spark, folder, seconds_frame(spark, [T0]))
+    plan = deduplicated(rows.withColumn("minute", F.expr("session_start div 60 * 60")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange ") == 1 and "rangepartitioning(minute" in text
 
@@ -94,12 +95,18 @@ def test_replay_of_a_batch_adds_no_rows(spark, folder):
 
 
 def test_older_layout(spark, folder):
-    # Written leaf by leaf: Spark itself cannot write one partition name twice.
+    # Written leaf by leaf: Spark itself cannot write one partition name twice. Counts are INT there.
+    raw, clean = f"{folder}/raw", f"{folder}/clean"
     for minute, rt, rows in (("00", 100, ROWS[:1]), ("00", 200, ROWS[1:3]), ("01", 100, ROWS[3:])):
-        df = revisions(spark, rows).select("sessionId", "sessionLengthSeconds", "messageCount")
-        df.write.parquet(f"{folder}/y=2024/m=01/d=01/h=00/m={minute}/rt={rt}")
-    got = dedupe_legacy(spark, folder, [T0, T0 + 60]).collect()
-    assert sorted((r.sessionId, r.minute - T0, r.rt) for r in got) == [("1", 0, 200), ("1", 60, 100), ("2", 0, 200)]
+        df = revisions(spark, rows).select(
+            "sessionId", "sessionLengthSeconds", F.col("messageCount").cast("map<string,int>").alias("messageCount")
+        )
+        df.write.parquet(f"{raw}/y=2024/m=01/d=01/h=00/m={minute}/rt={rt}")
+    dedupe_legacy(spark, raw, [T0, T0 + 60], clean)
+    got = scan_table(spark, clean, clean_schema()).collect()
+    assert sorted((r.sessionId, r.mi, r.rt, r.messageCount["a"]) for r in got) == [
+        ("1", "00", 200, 4), ("1", "01", 100, 1), ("2", "00", 200, 1),
+    ]
 
 
 def test_reconcile_drops_rows_a_merge_made_obsolete(spark):

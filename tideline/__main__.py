@@ -12,6 +12,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tideline.model import ALLOWED_LATENESS_SECONDS, GAP_SECONDS, GRAINS, MAX_SKEW_SECONDS
+from tideline.operators.observe import ProgressLog
 from tideline.plans.dedupe_job import dedupe
 from tideline.plans.notice_job import run_dedupe_on_notice
 from tideline.plans.pipeline import UNTIL_DONE, run_pipeline, run_quarantine
@@ -79,6 +80,7 @@ def _run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = build_session(f"tideline-{args.job}")
+    spark.streams.addListener(ProgressLog())
     if args.job == "sessions":
         _run_sessions(spark, args)
     elif args.job == "dedupe":

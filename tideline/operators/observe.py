@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tideline.functions.codec import total_messages
 from tideline.operators.guards import rejection
@@ -41,3 +44,23 @@ def observed(query, name: str) -> list[dict]:
     """Metrics of the query's recent micro-batches."""
     rows = (p.observedMetrics.get(name) for p in query.recentProgress)
     return [r.asDict() for r in rows if r is not None]
+
+
+class ProgressLog(StreamingQueryListener):
+    """Logs the metrics above once per micro-batch; add it with `spark.streams.addListener`."""
+
+    def __init__(self, logger: logging.Logger | None = None):
+        self.logger = logger or logging.getLogger("tideline.progress")
+
+    def onQueryStarted(self, event) -> None:
+        self.logger.info("%s started", event.name)
+
+    def onQueryProgress(self, event) -> None:
+        for name, row in event.progress.observedMetrics.items():
+            self.logger.info("%s batch %s %s %s", event.progress.name, event.progress.batchId, name, row.asDict())
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.logger.info("query %s ended", event.id)

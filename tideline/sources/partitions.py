@@ -30,21 +30,20 @@ def scan_table(spark: SparkSession, root: str, schema: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(root)
 
 
-def _listing(minutes: DataFrame, grain: str) -> tuple[str, list[str], int]:
-    """Level and names of the directories to list, and the number of minutes wanted.
+def _listing(minutes: DataFrame, grain: str) -> tuple[str, list[str]]:
+    """Level and names of the directories to list.
 
     Takes the finest level that stays under the limit, so the driver receives at most
     MAX_LISTED_PATHS names, or one per calendar day at the coarsest.
     """
     levels = list(GRAINS)[: list(GRAINS).index(grain) + 1]
-    paths = {level: partition_path(F.col("minute"), level) for level in levels}
-    sizes = minutes.agg(
-        F.count_distinct("minute").alias("n"),
-        *(F.count_distinct(path).alias(level) for level, path in paths.items()),
-    ).first()
-    level = [g for g in levels if g == "day" or sizes[g] <= MAX_LISTED_PATHS][-1]
-    found = minutes.select(paths[level].alias("p")).distinct().sort("p").collect()
-    return level, [row.p for row in found], sizes["n"]
+    for level in reversed(levels):
+        paths = minutes.select(partition_path(F.col("minute"), level).alias("p")).distinct()
+        if level != "day":
+            paths = paths.limit(MAX_LISTED_PATHS + 1)
+        found = sorted(row.p for row in paths.collect())
+        if level == "day" or len(found) <= MAX_LISTED_PATHS:
+            return level, found
 
 
 def scan_partitions(
@@ -59,7 +58,7 @@ def scan_partitions(
     With a coarser grain a partition also holds other minutes; these rows come along, since
     whoever rewrites the partition needs them. A directory that does not exist is an error.
     """
-    level, paths, n = _listing(minutes, grain)
+    level, paths = _listing(minutes, grain)
     reader = spark.read.schema(schema or raw_schema(grain))
     if not paths:
         return reader.parquet(root).limit(0)
@@ -69,7 +68,7 @@ def scan_partitions(
     # More was listed than asked for: keep the wanted partitions and no others.
     width = GRAINS[grain]
     wanted = minutes.select(floor_to(F.col("minute"), width).alias("_part")).distinct()
-    if n <= MAX_BROADCAST_MINUTES:
+    if wanted.count() <= MAX_BROADCAST_MINUTES:
         wanted = F.broadcast(wanted)
     rows = rows.withColumn("_part", floor_to(F.col("session_start"), width))
     return rows.join(wanted, "_part", "left_semi").drop("_part")
