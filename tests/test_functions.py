@@ -46,7 +46,8 @@ def test_month_and_minute_are_not_mixed_up(spark):
 
 
 def test_path_without_a_minute(spark):
-    assert one(spark, try_path_to_second(F.lit("foo/bar"))) is None
+    for path in ("foo/bar", "y=2024/m=13/d=01/h=00/m=00", "y=2024/mo=01/d=01/h=24/mi=00"):
+        assert one(spark, try_path_to_second(F.lit(path))) is None
     with pytest.raises(Exception, match="names no event minute: foo/bar"):
         one(spark, path_to_second(F.lit("foo/bar")))
 

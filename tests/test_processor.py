@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import random
-from collections import namedtuple
 
 import pytest
 from helpers import brute_force
@@ -13,7 +12,6 @@ from hypothesis import given, settings, strategies as st
 from tideline.streaming.processor import Session, SessionRevisions, merge_sessions
 
 GAP, LATENESS = 60, 3_600
-Message = namedtuple("Message", "message_name event_sec n")
 
 
 class Harness:
@@ -48,7 +46,7 @@ class Harness:
 
     def batch(self, *messages):
         """Messages (name, second) in one micro-batch, then timers."""
-        rows = [Message(name, sec, 1) for name, sec in messages]
+        rows = [("k", name, sec, 1) for name, sec in messages]
         out = self._rows(self.operator.handleInputRows(("k",), iter(rows), self)) if rows else []
         while due := sorted(t for t in self.timers if t <= self.watermark):
             self.timers.discard(due[0])

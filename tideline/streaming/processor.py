@@ -109,10 +109,10 @@ class SessionRevisions(StatefulProcessor):
         watermark = timerValues.getCurrentWatermarkInMs()
         fresh: dict[int, dict[str, int]] = {}
         dropped = Session(0, 0)
-        for row in rows:
-            late = (row.event_sec + self.gap + self.lateness) * 1_000 <= watermark
-            counts = dropped.counts if late else fresh.setdefault(row.event_sec, {})
-            counts[row.message_name] = counts.get(row.message_name, 0) + row.n
+        for _, name, second, n in rows:  # the columns of `combine_messages`
+            late = (second + self.gap + self.lateness) * 1_000 <= watermark
+            counts = dropped.counts if late else fresh.setdefault(second, {})
+            counts[name] = counts.get(name, 0) + n
         if dropped.counts:
             yield self._row(key, dropped, "dropped")
         if not fresh:
