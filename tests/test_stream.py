@@ -211,3 +211,15 @@ def test_final_sessions_come_once(spark):
     out = replay_final(spark, frames[0].union(frames[1]).union(frames[2]), 3, lateness=3_600)
     assert out.columns == SESSION.fieldNames()
     assert as_set(out) == {("1", 0, 45, (("a", 2), ("c", 1))), ("2", 500, 0, (("b", 1),))}
+
+
+def test_json_messages_without_arrival(spark, folder):
+    path = f"{folder}/in"
+    message_frame(spark, ON_TIME).drop("arrival").write.json(path)
+    query = run_pipeline(
+        stream_messages(spark, path, "json", 1_000_000), f"{folder}/raw", None, f"{folder}/checkpoint",
+        UNTIL_DONE, max_skew=100 * 365 * DAY,
+    )
+    query.awaitTermination()
+    # The files are written now, long after the events, so the session is closed.
+    assert as_set(scan_table(spark, f"{folder}/raw", raw_schema())) == {("1", 0, 45, (("browse", 2), ("click", 1)))}

@@ -31,6 +31,7 @@ def parser() -> argparse.ArgumentParser:
     source.add_argument("--input-path", help="folder of message files")
     source.add_argument("--kafka-topic", help="topic of protobuf messages")
     sessions.add_argument("--input-format", default="parquet")
+    sessions.add_argument("--max-bytes-per-batch", type=int, help="size limit of a micro-batch")
     sessions.add_argument("--kafka-servers")
     sessions.add_argument("--output-destination", required=True, help="raw dataset")
     sessions.add_argument("--output-notices", required=True, help="folder for notices")
@@ -62,7 +63,9 @@ def _run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
         # Undecodable payloads have no event time, so the guard sets them aside.
         messages = decode_messages(payloads).drop("error")
     else:
-        messages = stream_messages(spark, args.input_path, args.input_format)
+        messages = stream_messages(
+            spark, args.input_path, args.input_format, args.max_bytes_per_batch
+        )
     trigger = UNTIL_DONE if args.until_done else None
     queries = [run_pipeline(
         messages, args.output_destination, args.output_notices, f"{args.checkpoint}/sessions",

@@ -52,13 +52,17 @@ def read_messages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataF
 
 
 def stream_messages(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_bytes_per_batch: str | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", max_bytes_per_batch: int | None = None
 ) -> DataFrame:
-    """File stream of messages; one micro-batch takes at most `max_bytes_per_batch` of files."""
+    """File stream of messages; one micro-batch takes at most `max_bytes_per_batch` of files.
+
+    A message without an arrival time counts as arrived when its file did.
+    """
     reader = spark.readStream.schema(MESSAGE).format(fmt)
     if max_bytes_per_batch:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
-    return reader.load(path)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_batch))
+    arrival = F.coalesce("arrival", F.col("_metadata.file_modification_time"))
+    return reader.load(path).withColumn("arrival", arrival)
 
 
 def stream_payloads(spark: SparkSession, **kafka_options: str) -> DataFrame:

@@ -13,8 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 KEYS = ["session_id", "message_name", "event_sec"]
+COMBINED = "session_id string, message_name string, event_sec bigint, n bigint"
 # Rows a task buffers before it merges them; bounds memory, not results.
-BUFFERED_ROWS = 200_000
+BUFFERED_ROWS = 500_000
 
 
 def _merge(tables: list[pa.Table]) -> pa.Table:
@@ -42,6 +43,10 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def combine_messages(messages: DataFrame) -> DataFrame:
     """Messages -> `session_id, message_name, event_sec, n`.
 
+    Merged once per task and once more after a shuffle on (key, second). This spreads a hot
+    key over all tasks, so the one state task it ends up in gets about one row per second
+    and name, whatever the number of messages and of tasks that read them.
+
     The result carries no watermark column, so Spark drops no row on its own: whether a
     message is too late is decided per session by the state operator.
     """
@@ -51,6 +56,5 @@ def combine_messages(messages: DataFrame) -> DataFrame:
         "event_sec",
         F.lit(1).cast("bigint").alias("n"),
     )
-    return narrow.mapInArrow(
-        _combine, "session_id string, message_name string, event_sec bigint, n bigint"
-    )
+    per_task = narrow.mapInArrow(_combine, COMBINED)
+    return per_task.repartition("session_id", "event_sec").mapInArrow(_combine, COMBINED)
