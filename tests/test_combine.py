@@ -1,4 +1,5 @@
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from tideline.streaming import combine
 
@@ -39,3 +40,14 @@ def test_buffer_limit_changes_no_counts(monkeypatch):
 
 def test_no_input():
     assert list(combine._combine(iter(()))) == []
+
+
+def test_rows_of_a_hot_key_do_not_grow_with_the_tasks(spark):
+    # 64 tasks see the same ten seconds; the state operator gets each second and name once.
+    hot = spark.range(0, 64_000, 1, 64).select(
+        F.lit("hot").alias("session_id"), F.when(F.col("id") % 2 == 0, "a").alias("message_name"),
+        (F.col("id") % 10).alias("event_sec"),
+    )
+    rows = combine.combine_messages(hot).collect()
+    assert len(rows) == 10 and {r.n for r in rows} == {6_400}
+    assert {r.message_name for r in rows} == {"a", ""}

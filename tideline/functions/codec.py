@@ -31,12 +31,12 @@ def notice_second(text: Column) -> Column:
 
 def counts_from_entries(name: Column, n: Column) -> Column:
     """Aggregate: one (name, n) row per name -> map sorted by name."""
-    return F.map_from_entries(F.array_sort(F.collect_list(F.struct(name, n))))
+    return F.map_from_entries(F.sort_array(F.collect_list(F.struct(name, n))))
 
 
 def counts_json(counts: Column) -> Column:
     """Count map as compact JSON with its keys in order."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(counts))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(counts))))
 
 
 def total_messages(counts: Column) -> Column:

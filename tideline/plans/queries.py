@@ -176,7 +176,7 @@ def q_over_late_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("batch", F.max("top").over(earlier).alias("watermark_sec"))
     )
     return (
-        rows.join(F.broadcast(marks), "batch")
+        rows.join(marks, "batch")
         .where(over_late(F.col("watermark_sec"), lateness=3_600))
         .drop("batch")
     )
