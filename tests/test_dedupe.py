@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tideline.model import clean_schema, raw_schema
 from tideline.operators.dedupe import latest_revision
 from tideline.operators.reconcile import reconcile
-from tideline.plans.dedupe_job import dedupe, dedupe_legacy
+from tideline.plans.dedupe_job import dedupe, dedupe_legacy, deduplicated
 from tideline.plans.replay import replay_revisions
+from tideline.sinks import raw as raw_sink
 from tideline.sinks.raw import touched_minutes, write_revisions
 from tideline.sources import partitions
 from tideline.sources.partitions import scan_partitions, scan_table, seconds_frame
@@ -40,6 +41,17 @@ def test_equal_receipt_times_keep_the_fuller_row(spark):
     assert [(r.sessionLengthSeconds, r.messageCount) for r in row] == [(40, {"a": 4})]
 
 
+def test_write_tasks_follow_the_data(spark, folder, monkeypatch):
+    df = revisions(spark, ROWS).withColumn("minute", F.expr("session_start div 60 * 60"))
+    assert raw_sink.clustered(df).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(raw_sink, "ROWS_PER_TASK", 2)
+    cut = raw_sink.clustered(df)
+    assert cut.rdd.getNumPartitions() == 3
+    # One minute holds most rows here; they still spread over tasks by key.
+    at_minute = cut.where(f"minute = {T0}").select(F.spark_partition_id().alias("p")).distinct()
+    assert at_minute.count() > 1
+
+
 @pytest.mark.parametrize("grain", ["minute", "hour", "day"])
 def test_job_rewrites_the_asked_partitions_only(spark, folder, grain):
     raw, clean = f"{folder}/raw", f"{folder}/clean"
@@ -77,9 +89,8 @@ def test_scan_falls_back_to_coarser_listing(spark, folder, monkeypatch):
     assert keys(scan_partitions(spark, folder, minutes)) == expected
 
 
-def test_job_takes_one_shuffle(spark, folder):
-    from tideline.plans.dedupe_job import deduplicated
-
+def test_job_takes_one_shuffle(spark, folder, monkeypatch):
+    monkeypatch.setattr(raw_sink, "ROWS_PER_TASK", 1)
     write_revisions(revisions(spark, ROWS), folder)
     rows = scan_partitions(spark, folder, seconds_frame(spark, [T0]))
     plan = deduplicated(rows.withColumn("minute", F.expr("session_start div 60 * 60")))

@@ -133,8 +133,9 @@ def q_dedupe_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dedupe_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = shared_dir(spark, "dedupe-job")
-    revisions = _revisions(spark, sf_dir).withColumn("pane", F.lit("on_time"))
+    revisions = _revisions(spark, sf_dir).withColumn("pane", F.lit("on_time")).persist()
     write_revisions(revisions, f"{base}/raw", "day")
+    revisions.unpersist()
     raw = scan_table(spark, f"{base}/raw", raw_schema("day"))
     dedupe(spark, f"{base}/raw", touched_minutes(raw), f"{base}/clean", "day")
     return as_text(scan_table(spark, f"{base}/clean", clean_schema("day")), "rt")
