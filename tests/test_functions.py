@@ -42,6 +42,8 @@ def test_month_and_minute_are_not_mixed_up(spark):
     path = F.lit("gs/raw/y=2024/m=02/d=01/h=00/m=11/rt=5/part.parquet")
     assert one(spark, path_to_second(path)) == 1_706_745_600 + 11 * 60
     assert one(spark, receipt_of_path(path)) == 5
+    nested = F.concat(F.lit("y=1999/m=12/d=31/h=23/m=59/"), path)
+    assert one(spark, path_to_second(nested)) == 1_706_745_600 + 11 * 60
     assert one(spark, receipt_of_path(F.lit("y=2024"))) is None
 
 

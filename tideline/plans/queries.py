@@ -92,13 +92,16 @@ def q_sessions_per_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_partition_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     minutes = messages(spark, sf_dir).select(minute_of(F.col("event_sec")).alias("minute_second")).distinct()
     second = F.col("minute_second")
-    return minutes.select(
+    paths = minutes.select(
         "minute_second",
         partition_path(second).alias("path"),
         legacy_partition_path(second).alias("legacy_path"),
         receipt_path(second, second * 1_000).alias("raw_path"),
-        path_to_second(partition_path(second)).alias("path_second"),
-        path_to_second(legacy_partition_path(second)).alias("legacy_path_second"),
+    )
+    return paths.select(
+        "*",
+        path_to_second(F.col("path")).alias("path_second"),
+        path_to_second(F.col("legacy_path")).alias("legacy_path_second"),
     )
 
 
