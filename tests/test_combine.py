@@ -1,4 +1,5 @@
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from tideline.streaming import combine
@@ -30,8 +31,9 @@ def test_hot_key_becomes_one_row_per_second_and_name():
     assert set(total(out).values()) == {100}
 
 
-def test_buffer_limit_changes_no_counts(monkeypatch):
-    monkeypatch.setattr(combine, "BUFFERED_ROWS", 50)
+@pytest.mark.parametrize("limit, value", [("BUFFERED_ROWS", 50), ("BUFFERED_BYTES", 2_000)])
+def test_buffer_limit_changes_no_counts(monkeypatch, limit, value):
+    monkeypatch.setattr(combine, limit, value)
     for distinct in (5, 1_000):
         rows = [("a", i % distinct) for i in range(1_000)]
         counts = total(combine._combine(batches(rows, 30)))

@@ -31,12 +31,13 @@ def observe_revisions(revisions: DataFrame) -> DataFrame:
         F.count_if(F.col("pane") == name).alias(name) for name in ("early", "on_time", "late", "final")
     ]
     dropped = total_messages(F.col("messageCount"))
+    start = F.when(F.col("pane") != "dropped", F.col("session_start"))
     return revisions.observe(
         REVISIONS,
         *panes,
         F.sum(F.when(F.col("pane") == "dropped", dropped).otherwise(0)).alias("dropped_messages"),
-        F.min("session_start").alias("first_start_sec"),
-        F.max("session_start").alias("last_start_sec"),
+        F.min(start).alias("first_start_sec"),
+        F.max(start).alias("last_start_sec"),
     )
 
 

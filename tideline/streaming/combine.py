@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, functions as F
 
 KEYS = ["session_id", "message_name", "event_sec"]
 COMBINED = "session_id string, message_name string, event_sec bigint, n bigint"
-# Rows a task buffers before it merges them; bounds memory, not results.
+# What a task buffers before it merges; bounds memory, not results.
 BUFFERED_ROWS = 500_000
+BUFFERED_BYTES = 256 << 20
 
 
 def _merge(tables: list[pa.Table]) -> pa.Table:
@@ -23,19 +24,25 @@ def _merge(tables: list[pa.Table]) -> pa.Table:
     return merged.rename_columns({"n_sum": "n"}).select([*KEYS, "n"])
 
 
+def _full(table: pa.Table | pa.RecordBatch, rows: int, size: int) -> bool:
+    return table.num_rows + rows >= BUFFERED_ROWS or table.nbytes + size >= BUFFERED_BYTES
+
+
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
-    rows = 0
+    rows = size = 0
     for batch in batches:
         held.append(pa.Table.from_batches([batch]))
-        rows += batch.num_rows
-        if rows >= BUFFERED_ROWS:
-            merged = _merge(held)
-            if merged.num_rows > BUFFERED_ROWS // 2:
-                yield from merged.combine_chunks().to_batches()
-                held, rows = [], 0
-            else:
-                held, rows = [merged], merged.num_rows
+        if not _full(batch, rows, size):
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            continue
+        merged = _merge(held)
+        if _full(merged, merged.num_rows, merged.nbytes):
+            # More than half is left: holding on to it would merge the same rows again and again.
+            yield from merged.combine_chunks().to_batches()
+            held, rows, size = [], 0, 0
+        else:
+            held, rows, size = [merged], merged.num_rows, merged.nbytes
     if held:
         yield from _merge(held).combine_chunks().to_batches()
 
