@@ -80,7 +80,7 @@ def _run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
         query.awaitTermination()
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None) -> SparkSession:
     args = parser().parse_args(argv)
     spark = build_session(f"tideline-{args.job}")
     spark.streams.addListener(ProgressLog())
@@ -93,7 +93,9 @@ def main(argv: list[str] | None = None) -> None:
             spark, args.notices, args.input_root, args.output_root, args.checkpoint,
             UNTIL_DONE if args.until_done else None, args.grain,
         ).awaitTermination()
+    return spark
 
 
 if __name__ == "__main__":
-    main()
+    # Stopping the session delivers the last progress events while Python still listens.
+    main().stop()
