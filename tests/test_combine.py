@@ -53,3 +53,11 @@ def test_rows_of_a_hot_key_do_not_grow_with_the_tasks(spark):
     rows = combine.combine_messages(hot).collect()
     assert len(rows) == 10 and {r.n for r in rows} == {6_400}
     assert {r.message_name for r in rows} == {"a", ""}
+
+
+def test_task_that_fills_its_buffer_many_times(spark):
+    many = spark.range(0, 1_600_000, 1, 2).select(
+        F.lit("hot").alias("session_id"), F.lit("a").alias("message_name"), (F.col("id") % 7).alias("event_sec"),
+    )
+    rows = combine.combine_messages(many).collect()
+    assert len(rows) == 7 and sum(r.n for r in rows) == 1_600_000

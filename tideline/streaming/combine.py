@@ -14,14 +14,19 @@ from pyspark.sql import DataFrame, functions as F
 
 KEYS = ["session_id", "message_name", "event_sec"]
 COMBINED = "session_id string, message_name string, event_sec bigint, n bigint"
+ARROW = pa.schema([
+    ("session_id", pa.string()), ("message_name", pa.string()), ("event_sec", pa.int64()), ("n", pa.int64()),
+])
 # What a task buffers before it merges; bounds memory, not results.
 BUFFERED_ROWS = 500_000
 BUFFERED_BYTES = 256 << 20
 
 
 def _merge(tables: list[pa.Table]) -> pa.Table:
-    merged = pa.concat_tables(tables).group_by(KEYS, use_threads=False).aggregate([("n", "sum")])
-    return merged.rename_columns({"n_sum": "n"}).select([*KEYS, "n"])
+    # Batches from Spark mark columns as not nullable, merged ones do not: bring them together.
+    rows = pa.concat_tables([t.select([*KEYS, "n"]).cast(ARROW) for t in tables])
+    merged = rows.group_by(KEYS, use_threads=False).aggregate([("n", "sum")])
+    return merged.rename_columns({"n_sum": "n"}).select([*KEYS, "n"]).cast(ARROW)
 
 
 def _full(table: pa.Table | pa.RecordBatch, rows: int, size: int) -> bool:
