@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from tideline.llm.near_dedup import OP5_SQL, op5_near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op5_near_dedup": op5_near_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op5_near_dedup": OP5_SQL,
 }
