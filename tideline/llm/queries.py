@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm.decontaminate import op4_decontamination
 from tideline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from tideline.llm.language import op8_language
 from tideline.llm.near_dedup import OP5_SQL, op5_near_dedup
@@ -13,6 +14,7 @@ from tideline.llm.pieces import op6_sentencepiece
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_decontamination": op4_decontamination,
     "op5_near_dedup": op5_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
     "op8_language": op8_language,
