@@ -11,9 +11,11 @@ from tideline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from tideline.llm.language import op8_language
 from tideline.llm.near_dedup import OP5_SQL, op5_near_dedup
 from tideline.llm.pieces import op6_sentencepiece
+from tideline.llm.repeats import op3_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op3_repeats": op3_repeats,
     "op4_decontamination": op4_decontamination,
     "op5_near_dedup": op5_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
