@@ -32,6 +32,17 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return x
 
 
+def unmixed(values: np.ndarray) -> np.ndarray:
+    """The numbers that `mixed` took to these."""
+    x = values.astype(np.uint64)
+    x ^= (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+    x *= np.uint64(pow(MIX_2, -1, 1 << 64))
+    x ^= (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+    x *= np.uint64(pow(MIX_1, -1, 1 << 64))
+    x ^= (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+    return x - np.uint64(GAMMA)
+
+
 def powers(count: int, base: int = BASE) -> np.ndarray:
     """base**0, base**1 and so on, modulo 2**64."""
     out = np.full(count, base, np.uint64)

@@ -12,9 +12,11 @@ from tideline.llm.language import op8_language
 from tideline.llm.near_dedup import OP5_SQL, op5_near_dedup
 from tideline.llm.pieces import op6_sentencepiece
 from tideline.llm.repeats import op3_repeats
+from tideline.llm.toxicity import op2_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_toxicity": op2_toxicity,
     "op3_repeats": op3_repeats,
     "op4_decontamination": op4_decontamination,
     "op5_near_dedup": op5_near_dedup,
