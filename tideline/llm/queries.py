@@ -10,9 +10,11 @@ from tideline.llm.decontaminate import op4_decontamination
 from tideline.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from tideline.llm.language import op8_language
 from tideline.llm.near_dedup import OP5_SQL, op5_near_dedup
+from tideline.llm.pages import op7_html
 from tideline.llm.pieces import op6_sentencepiece
 from tideline.llm.repeats import op3_repeats
 from tideline.llm.toxicity import op2_toxicity
+from tideline.llm.urls import op9_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
@@ -21,7 +23,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_near_dedup": op5_near_dedup,
     "op6_sentencepiece": op6_sentencepiece,
+    "op7_html": op7_html,
     "op8_language": op8_language,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLES: dict[str, str] = {
