@@ -13,6 +13,7 @@ from tideline.llm.near_dedup import OP5_SQL, op5_near_dedup
 from tideline.llm.pages import op7_html
 from tideline.llm.pieces import op6_sentencepiece
 from tideline.llm.repeats import op3_repeats
+from tideline.llm.secrets import op10_secrets
 from tideline.llm.toxicity import op2_toxicity
 from tideline.llm.urls import op9_url_filter
 
@@ -26,6 +27,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_html": op7_html,
     "op8_language": op8_language,
     "op9_url_filter": op9_url_filter,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {
