@@ -8,9 +8,13 @@ symbol differs with probability 0.25, so 31 of 64 lies 4.3 standard deviations a
 
 Buckets are joined without forming all their pairs. First each member is compared with the
 smallest member of its bucket only, and the links found merge most of a group of copies into one
-component. Then, in buckets that still hold several components, members are compared block by block across
-components; pairs within the signature distance go to the exact check. A pair that no round
-compares is already known to be connected, so the components are those of all links.
+component. The members of buckets that still hold several components are left over. A bucket of
+half-similar documents has a quadratic number of pairs, nearly all of them no links; so a pair
+of left-over members from different components is looked at only if it can be a link: the rarest
+shingles of the two meet. With the shingles of a set in order of rarity, two sets of similarity t
+share one among the first (1 - t) n + 1 of the longer and the first (1 - t) / (1 + t) n + 1 of the shorter. Such
+pairs within the signature distance go to the exact check. A pair that no round compares is no
+link, or is already known to be connected, so the components are those of all links.
 """
 
 from __future__ import annotations
@@ -20,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.llm.buffers import SpanHash, joined_hash, lowered, mixed, slices, text_bytes, words
@@ -30,7 +34,6 @@ from tideline.llm.tables import table, unused, whole_text, written
 SHINGLE_WORDS = 5
 SYMBOLS, CHUNK = 64, 4
 DISTANCE = 2 * (SYMBOLS // CHUNK) - 1
-BLOCK = 256
 
 
 def shingle_sets(batch: pa.RecordBatch, hashes: SpanHash, column: str) -> Iterator[np.ndarray]:
@@ -92,54 +95,25 @@ def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch({"bucket": flat, "node": np.repeat(nodes, SYMBOLS)})
 
 
-def across_components(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) within the signature distance, in different components, from sorted block pairs.
+def list_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row (shingle, node, size) for each shingle of each row of (node, text)."""
+    hashes = SpanHash()
+    for batch in slices(batches, "text", 1 << 20):
+        sets = list(shingle_sets(batch, hashes, "text"))
+        sizes = np.array([len(x) for x in sets], np.int64)
+        yield pa.record_batch({
+            "shingle": np.concatenate([*sets, np.zeros(0, np.uint64)]).view(np.int64),
+            "node": np.repeat(batch.column("node").to_numpy(), sizes), "size": np.repeat(sizes, sizes)})
 
-    Rows come sorted by (bucket, low, high); rows of one such group are compared with each other.
-    A group that is cut by a batch border is kept for the next batch.
-    """
 
-    def pairs(part: pa.Table) -> pa.RecordBatch:
-        bucket, low, high, block, node, component = (
-            part.column(x).to_numpy() for x in ("bucket", "low", "high", "block", "node", "component"))
-        raw, _ = text_bytes(part.column("signature").combine_chunks())
-        symbols = raw.view(np.uint16).reshape(-1, SYMBOLS)
-        found = []
-        left = np.arange(len(node))
-        step = 1
-        while True:
-            left = left[left + step < len(node)]
-            right = left + step
-            same = (bucket[left] == bucket[right]) & (low[left] == low[right]) & (high[left] == high[right])
-            left, right = left[same], right[same]
-            if not len(left):
-                break
-            wanted = (component[left] != component[right]) & ((low[left] == high[left]) | (block[left] != block[right]))
-            a, b = left[wanted], right[wanted]
-            for at in range(0, len(a), 1 << 15):
-                x, y = a[at: at + (1 << 15)], b[at: at + (1 << 15)]
-                near = np.count_nonzero(symbols[x] != symbols[y], axis=1) <= DISTANCE
-                found.append(np.stack([node[x[near]], node[y[near]]], axis=1))
-            step += 1
-        got = np.unique(np.sort(np.concatenate(found), axis=1), axis=0) if found else np.zeros((0, 2), np.int64)
-        return pa.record_batch({"a": got[:, 0], "b": got[:, 1]})
-
-    rest = None
+def close_signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs (a, b) of (a, b, left, right) whose signatures are within the distance."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        both = pa.Table.from_batches([batch])
-        both = pa.concat_tables([rest, both]) if rest is not None else both
-        last = both.slice(both.num_rows - 1)
-        same = np.ones(both.num_rows, bool)
-        for name in ("bucket", "low", "high"):
-            same &= both.column(name).to_numpy() == last.column(name)[0].as_py()
-        cut = both.num_rows - int(np.count_nonzero(same))
-        if cut:
-            yield pairs(both.slice(0, cut))
-        rest = both.slice(cut)
-    if rest is not None:
-        yield pairs(rest)
+        left, right = (text_bytes(batch.column(x))[0].view(np.uint16).reshape(-1, SYMBOLS) for x in ("left", "right"))
+        near = np.count_nonzero(left != right, axis=1) <= DISTANCE
+        yield batch.select(["a", "b"]).filter(pa.array(near))
 
 
 def pack_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,7 +150,6 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     copies form no pairs. Rows that share an id are one document, linked by each of its texts. A
     row without an id is in the component of its copies (null if they have none). An empty table gives no rows.
     """
-    spark = docs.sparkSession
     texts = docs.select(F.col(id_column).cast("long").alias("id"), whole_text(text_column).alias("text"))
     signed = written(texts.mapInArrow(sign, "id long, n_shingles long, digest binary, signature binary"), "signatures")
     classes = signed.where("digest is not null").groupBy("digest").agg(
@@ -191,8 +164,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         pairs = written(pairs.distinct(), purpose)
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         packed = written(
-            texts.join(wanted, "id", "left_semi").withColumnRenamed("id", "node")
-            .mapInArrow(pack_sets, "node long, shingles binary").distinct(), f"{purpose}-sets")
+            texts.join(wanted, "id", "left_semi").withColumnRenamed("id", "node").mapInArrow(pack_sets, "node long, shingles binary").distinct(), f"{purpose}-sets")
         return pairs.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
             packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b",
         ).select("a", "b", "left", "right").mapInArrow(lambda batches: confirm(batches, percent), "a long, b long")
@@ -203,22 +175,29 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     placed = written(
         members.select("bucket", "node").join(found, "node", "left")
         .select("bucket", "node", F.coalesce("component", "node").alias("component")), "placed")
-    mixed_buckets = placed.groupBy("bucket").agg(
-        F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size"),
-    ).where("x < y").select("bucket", F.ceil(F.col("size") / BLOCK).cast("long").alias("blocks"))
-    blocked = (
-        placed.join(mixed_buckets, "bucket")
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", "node", "component", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    )
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    crossing = (
-        blocked.join(classes.select("node", "signature").groupBy("node").agg(F.min("signature").alias("signature")), "node")
-        .repartition(width, "bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-        .select("bucket", "low", "high", "block", "node", "component", "signature")
-        .mapInArrow(across_components, "a long, b long")
-    )
+    unsettled = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
+    left_over = written(placed.join(unsettled, "bucket", "left_semi").select("node", "component").distinct(), "left-over")
+    shingles = written(
+        texts.join(left_over.select(F.col("node").alias("id")), "id", "left_semi").withColumnRenamed("id", "node").mapInArrow(list_shingles, "shingle long, node long, size long"), "left-over-shingles")
+    held = shingles.groupBy("shingle").agg(F.count("*").alias("documents")).where("documents > 1")
+    rarest = Window.partitionBy("node").orderBy("documents", "shingle")
+    share = percent / 100
+    ranked = shingles.join(held, "shingle").withColumn("rank", F.row_number().over(rarest) + F.col("size") - F.count("*").over(Window.partitionBy("node")))
+    prefixes = written(
+        ranked.where(F.col("rank") <= F.floor((1 - share) * F.col("size") + 1e-6) + 1).join(left_over, "node")
+        .select("shingle", "node", "component", "size", "rank", (
+            F.col("rank") <= F.floor((1 - share) / (1 + share) * F.col("size") + 1e-6) + 1).alias("leads")), "prefixes")
+    shorter = prefixes.where("leads").select("shingle", F.col("node").alias("a"), F.col("component").alias("p"), F.col("size").alias("m"), F.col("rank").alias("i"))
+    longer = prefixes.select("shingle", F.col("node").alias("b"), F.col("component").alias("q"), F.col("size").alias("n"), F.col("rank").alias("j"))
+    # The first shingle that two sets share has none before it, so what follows it bounds their intersection.
+    possible = (100 + percent) * (F.least(F.col("m") - F.col("i"), F.col("n") - F.col("j")) + 1) >= percent * (F.col("m") + F.col("n"))
+    met = shorter.join(longer, "shingle").where(
+        (F.col("p") != F.col("q")) & (F.struct("m", "a") < F.struct("n", "b")) & (F.col("m") * 100 >= F.col("n") * percent) & possible,
+    ).select("a", "b").distinct()
+    signature_of = classes.groupBy("node").agg(F.min("signature").alias("signature"))
+    crossing = met.join(signature_of.select(F.col("node").alias("a"), F.col("signature").alias("left")), "a").join(
+        signature_of.select(F.col("node").alias("b"), F.col("signature").alias("right")), "b",
+    ).select("a", "b", "left", "right").mapInArrow(close_signatures, "a long, b long")
     second = linked(crossing, "cross")
     reached = components(first.unionByName(second))
 
