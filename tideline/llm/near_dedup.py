@@ -160,11 +160,14 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     centres = keyed.groupBy("bucket").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last")
     members = written(keyed.join(centres.select("bucket", "centre"), "bucket"), "buckets")
 
+    met_nodes = members.select(F.col("node").alias("id")).distinct()
+    met_texts = written(texts.join(met_nodes, "id", "left_semi").withColumnRenamed("id", "node"), "bucket-texts")
+
     def linked(pairs: DataFrame, purpose: str) -> DataFrame:
         pairs = written(pairs.distinct(), purpose)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
         packed = written(
-            texts.join(wanted, "id", "left_semi").withColumnRenamed("id", "node").mapInArrow(pack_sets, "node long, shingles binary").distinct(), f"{purpose}-sets")
+            met_texts.join(wanted, "node", "left_semi").mapInArrow(pack_sets, "node long, shingles binary").distinct(), f"{purpose}-sets")
         return pairs.join(packed.select(F.col("node").alias("a"), F.col("shingles").alias("left")), "a").join(
             packed.select(F.col("node").alias("b"), F.col("shingles").alias("right")), "b",
         ).select("a", "b", "left", "right").mapInArrow(lambda batches: confirm(batches, percent), "a long, b long")
@@ -178,7 +181,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     unsettled = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("bucket")
     left_over = written(placed.join(unsettled, "bucket", "left_semi").select("node", "component").distinct(), "left-over")
     shingles = written(
-        texts.join(left_over.select(F.col("node").alias("id")), "id", "left_semi").withColumnRenamed("id", "node").mapInArrow(list_shingles, "shingle long, node long, size long"), "left-over-shingles")
+        met_texts.join(left_over.select("node"), "node", "left_semi").mapInArrow(list_shingles, "shingle long, node long, size long"), "left-over-shingles")
     held = shingles.groupBy("shingle").agg(F.count("*").alias("documents")).where("documents > 1")
     rarest = Window.partitionBy("node").orderBy("documents", "shingle")
     share = percent / 100
