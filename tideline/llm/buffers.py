@@ -72,6 +72,12 @@ class SpanHash:
         return mixed(summed + (ends - starts).astype(np.uint64) * np.uint64(GAMMA))
 
 
+    def windows(self, size: int) -> np.ndarray:
+        """The hashes of all spans of one size, by their starts."""
+        summed = (self.prefix[size:] - self.prefix[:-size]) * self.down[: len(self.prefix) - size]
+        return mixed(summed + np.uint64(size * GAMMA % (1 << 64)))
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that a text column has about `limit` bytes, or one row if that is longer."""
     for batch in batches:

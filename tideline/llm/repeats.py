@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.buffers import SpanHash, mixed, slices, text_bytes
-from tideline.llm.suffixes import longest_factors
+from tideline.llm.suffixes import long_matches
 from tideline.llm.tables import table, whole_text, written
 
 LENGTH = 200
@@ -51,43 +51,30 @@ def extents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(data) < LENGTH:
             continue
         hashes.load(data)
-        grams = np.arange(len(data) - GRAM + 1)
-        value = hashes.spans(grams, grams + GRAM)
-        # The least hash of each string's grams; of equal ones the first, so content alone decides.
-        least = sliding_minimum(value, LENGTH - GRAM + 1)
-        strings = np.arange(len(least))
-        row = np.searchsorted(offsets, strings, side="right") - 1
-        whole = strings + LENGTH <= offsets[row + 1]
-        strings, row, least = strings[whole], row[whole], least[whole]
+        value = hashes.windows(GRAM)
+        # The least hash of each string's grams, the first place of equal ones, so content alone decides: the
+        # low bits of the hash give way to the place.
+        bits = np.uint64(len(data).bit_length())
+        places = np.arange(len(value), dtype=np.uint64)
+        least = sliding_minimum(value >> bits << bits | places, LENGTH - GRAM + 1)
+        row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))[: len(least)]
+        strings = np.flatnonzero(np.arange(len(least)) + LENGTH <= offsets[1:][row])
         if not len(strings):
             continue
-        chosen = first_equal(value, strings, least)
-        fresh = np.append(True, (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1]))
-        start = np.flatnonzero(fresh)
+        row = row[strings]
+        chosen = (least[strings] & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+        start = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (row[1:] != row[:-1])))
         count = np.diff(np.append(start, len(strings)))
-        begin, gram = strings[start], chosen[start]
+        begin, gram, row = strings[start], chosen[start], row[start]
         end = begin + count - 1 + LENGTH
-        offset = (gram - begin).astype(np.uint64)
         yield pa.record_batch({
             "gram": value[gram].view(np.int64),
-            "extent": mixed(hashes.spans(begin, end) + offset).view(np.int64),
-            "node": batch.column("node").to_numpy()[row[start]],
-            "place": ((begin - offsets[row[start]]) << 10 | (end - begin)).astype(np.int64),
+            "extent": mixed(hashes.spans(begin, end) + (gram - begin).astype(np.uint64)).view(np.int64),
+            "node": batch.column("node").to_numpy()[row],
+            "place": (begin - offsets[row]) << 10 | (end - begin),
         })
 
 
-def first_equal(value: np.ndarray, strings: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """For each string the first gram place from its start on with the least hash."""
-    order = np.argsort(value, kind="stable")
-    ordered = value[order]
-    # Places of one value are sorted; search for (value, place) in the combined order.
-    group = np.searchsorted(ordered, least)
-    begins = np.append(True, ordered[1:] != ordered[:-1])
-    number = np.cumsum(begins) - 1
-    key = number * (len(value) + 1) + order
-    return order[np.searchsorted(key, number[group] * (len(value) + 1) + strings)]
-
-
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by (gram, extent, node, place): those whose gram occurs elsewhere too.
 
@@ -161,10 +148,9 @@ def compare_extents(keep: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
         copied = part.column("copied").to_numpy()
         starts = np.arange(len(text))
         row = np.searchsorted(offsets, starts, side="right") - 1
-        earlier, later = longest_factors(text, LENGTH, starts + LENGTH <= offsets[row + 1])
-        hit = earlier >= LENGTH
+        hit, later = long_matches(text, LENGTH, starts + LENGTH <= offsets[row + 1])
         if keep == "none":
-            hit |= later >= LENGTH
+            hit |= later
             hit &= ~copied[row]
         places = np.flatnonzero(hit)
         # Extents lie end to end, so runs are cut where the row changes: a string never crosses a row.

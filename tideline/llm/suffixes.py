@@ -6,33 +6,45 @@ import numpy as np
 
 
 def prefix_ranks(text: np.ndarray, cap: int) -> dict[int, np.ndarray]:
-    """For lengths 1, 2, 4 .. below `cap`, and `cap`: the rank of each place by its next bytes.
+    """For lengths 8, 24, 72 .. below `cap`, and `cap` (8 or more): the rank of each place by its next bytes.
 
-    A place with fewer bytes left ranks by what is left, before all that go on.
+    Past the end of the text come zeros, so what is left of a suffix ranks before all that go on with
+    other bytes than zero. Each length joins three ranks of the one before in one number.
     """
-    ranks = {1: np.append(text.astype(np.int64) + 1, 0)}
-    length = 1
+    padded = np.append(text, np.zeros(8, np.uint8)).astype(np.uint64)
+    packed = np.zeros(len(text) + 1, np.uint64)
+    for k in range(8):
+        packed = packed << np.uint64(8) | padded[k: k + len(packed)]
+    ranks = {8: np.unique(packed, return_inverse=True)[1]}
+    length, last = 8, len(text)
     while length < cap:
-        longer = min(2 * length, cap)
+        longer = min(3 * length, cap)
         have = ranks[length]
-        second = np.minimum(np.arange(len(have)) + (longer - length), len(have) - 1)
-        ranks[longer] = np.unique(have * (have.max() + 1) + have[second], return_inverse=True)[1]
+        size = int(have.max()) + 1
+        second = have[np.minimum(np.arange(last + 1) + min(length, longer - length), last)]
+        joined = have * size + second
+        if longer > 2 * length and size < 1 << 21:
+            joined = joined * size + have[np.minimum(np.arange(last + 1) + longer - length, last)]
+        else:
+            longer = min(2 * length, longer)
+        ranks[longer] = np.unique(joined, return_inverse=True)[1]
         length = longer
     return ranks
 
 
-def common_length(ranks: dict[int, np.ndarray], left: np.ndarray, right: np.ndarray, cap: int) -> np.ndarray:
+def common_length(text: np.ndarray, ranks: dict[int, np.ndarray], left: np.ndarray, right: np.ndarray, cap: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at `left` and `right`, at most `cap`."""
+    last = len(text)
     total = np.where(ranks[cap][left] == ranks[cap][right], cap, 0)
     open_ = np.flatnonzero(total == 0)
-    last = len(ranks[1]) - 1
-    for length in sorted((x for x in ranks if x < cap), reverse=True):
-        for _ in range(2):
+    for length in [*sorted((x for x in ranks if x < cap), reverse=True), 1]:
+        for _ in range(7 if length == 1 else 2):
             x, y = left[open_] + total[open_], right[open_] + total[open_]
             inside = (x < last) & (y < last)
-            same = inside & (ranks[length][np.minimum(x, last)] == ranks[length][np.minimum(y, last)])
-            total[open_] += np.where(same, length, 0)
-    return np.minimum(total, cap)
+            x, y = np.minimum(x, last - 1), np.minimum(y, last - 1)
+            values = text if length == 1 else ranks[length]
+            total[open_] += np.where(inside & (values[x] == values[y]), length, 0)
+    return np.minimum(np.minimum(total, cap), last - np.maximum(left, right))
 
 
 def nearest_smaller(values: np.ndarray) -> np.ndarray:
@@ -45,27 +57,40 @@ def nearest_smaller(values: np.ndarray) -> np.ndarray:
         link[wrong] = link[link[wrong]]
 
 
-def longest_factors(text: np.ndarray, cap: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """For each place, the length (up to `cap`) of its longest match that starts earlier, and later.
+def neighbours(order: np.ndarray, sign: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Places and, before and after them in suffix order, the nearest that start earlier (sign 1) or later (-1)."""
+    found = []
+    for along in (order, order[::-1]):
+        near = nearest_smaller(along * sign)
+        has = np.flatnonzero(near >= 0)
+        found.append((along[has], along[near[has]]))
+    return found
 
-    With a mask `wanted`, only those places are compared, with each other; the rest get 0.
+
+def longest_factors(text: np.ndarray, cap: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each place, the length (up to `cap`) of its longest match that starts earlier, and later.
 
     In suffix order the best earlier match of a place is the nearest suffix before or after it that
     starts at a smaller place; the best later match is its mirror image.
     """
-    if not len(text):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ranks = prefix_ranks(text, cap)
-    places = np.arange(len(text)) if wanted is None else np.flatnonzero(wanted)
-    order = places[np.argsort(ranks[cap][places], kind="stable")]
-    found = []
-    for sign in (1, -1):
-        best = np.zeros(len(text), np.int64)
-        for flip in (False, True):
-            along = order[::-1] if flip else order
-            near = nearest_smaller(along * sign)
-            has = np.flatnonzero(near >= 0)
-            length = common_length(ranks, along[has], along[near[has]], cap)
-            best[along[has]] = np.maximum(best[along[has]], length)
-        found.append(best)
+    found = [np.zeros(len(text), np.int64), np.zeros(len(text), np.int64)]
+    if len(text):
+        ranks = prefix_ranks(text, cap)
+        order = np.argsort(ranks[cap][: len(text)], kind="stable")
+        for best, sign in zip(found, (1, -1), strict=True):
+            for place, other in neighbours(order, sign):
+                best[place] = np.maximum(best[place], common_length(text, ranks, place, other, cap))
+    return found[0], found[1]
+
+
+def long_matches(text: np.ndarray, length: int, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each wanted place has a match of that length with a wanted place that starts earlier, and later."""
+    found = [np.zeros(len(text), bool), np.zeros(len(text), bool)]
+    places = np.flatnonzero(wanted)
+    if len(places):
+        rank = prefix_ranks(text, length)[length]
+        order = places[np.argsort(rank[places], kind="stable")]
+        for hit, sign in zip(found, (1, -1), strict=True):
+            for place, other in neighbours(order, sign):
+                hit[place[rank[place] == rank[other]]] = True
     return found[0], found[1]
