@@ -12,13 +12,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.buffers import slices
+from tideline.llm.buffers import mixed, slices
 from tideline.llm.tables import table, whole_text
 
 SPACE = "▁"
 NONE = np.iinfo(np.int64).max
 LONG_WORD = 256
-KEPT_WORDS = 100_000
+KEPT_WORDS = 200_000
+TABLE_BITS = 20
 
 
 class Pieces:
@@ -57,6 +58,15 @@ class Pieces:
                 symbols.setdefault(c, len(symbols) + self.count)
         self.symbol_of = symbols
         self.base = max([self.count, *symbols.values()]) + 0x110000 + 1
+        # Symbol of each code point, and which ids stand for bytes.
+        self.of_point = np.arange(0x110000, dtype=np.int64) + (self.base - 0x110000)
+        for c, i in symbols.items():
+            if len(c) == 1:
+                self.of_point[ord(c)] = i
+        self.is_high_byte = np.zeros(self.count, bool)
+        for i, byte in self.byte_of.items():
+            self.is_high_byte[i] = byte > 127
+            self.surface[i] = chr(byte) if byte < 128 else ""
         pairs = []
         for piece, i in self.id_of.items():
             for at in range(1, len(piece)):
@@ -66,19 +76,37 @@ class Pieces:
         pairs.sort()
         self.pair_key, self.pair_id, self.pair_rank = (
             np.array([x[k] for x in pairs], np.int64) for k in range(3))
+        self.index_pairs()
 
     def lookup(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merged id and rank of each pair; rank NONE where the pair makes no piece."""
         if not len(self.pair_key):
             return np.zeros(len(left), np.int64), np.full(len(left), NONE)
         key = left * self.base + right
-        at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-        found = self.pair_key[at] == key
-        return self.pair_id[at], np.where(found, self.pair_rank[at], NONE)
-
-    def symbols(self, word: str) -> list[int]:
-        first_free = self.base - 0x110000
-        return [self.symbol_of.get(c, first_free + ord(c)) for c in word]
+        at = self.tables[0][self.slot(key, 0)]
+        other = np.flatnonzero(self.pair_key[at] != key)
+        at[other] = self.tables[1][self.slot(key[other], 1)]
+        return self.pair_id[at], np.where(self.pair_key[at] == key, self.pair_rank[at], NONE)
+
+    def slot(self, key: np.ndarray, which: int) -> np.ndarray:
+        return (key.astype(np.uint64) * np.uint64(self.factors[which]) >> np.uint64(64 - TABLE_BITS)).astype(np.int64)
+
+    def index_pairs(self) -> None:
+        """Two hash tables of the pairs: the second has those that lost their slot in the first."""
+        for seed in range(1000):
+            self.factors = [int(x) | 1 for x in mixed(np.arange(2) + 2 * seed)]
+            self.tables = [np.zeros(1 << TABLE_BITS, np.int32), np.zeros(1 << TABLE_BITS, np.int32)]
+            left = np.arange(len(self.pair_key))
+            for which in (0, 1):
+                slots = self.slot(self.pair_key[left], which)
+                self.tables[which][slots] = left
+                left = left[self.tables[which][slots] != left]
+            if not len(left):
+                return
+        raise ValueError("too many pairs for the tables")
+
+    def symbols(self, text: str) -> np.ndarray:
+        return self.of_point[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
 
     def ids(self, symbols: Iterable[int]) -> list[int]:
         """Ids of merged symbols: a character outside the vocabulary becomes its UTF-8 bytes."""
@@ -98,24 +126,34 @@ class Pieces:
         marked = SPACE + text.replace(" ", SPACE)
         return re.findall(f"{SPACE}+[^{SPACE}]*", marked) if self.cut_safe else [marked]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word."""
-        out: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
-        short = [i for i, w in enumerate(words) if len(w) <= LONG_WORD]
-        for i, w in enumerate(words):
-            if len(w) > LONG_WORD:
-                out[i] = np.array(self.ids(merge_by_heap(self, self.symbols(w))), np.int32)
-        for i, symbols in zip(short, merge_in_rounds(self, [self.symbols(words[i]) for i in short]), strict=True):
-            if len(symbols) and symbols.max() >= self.count:
-                symbols = np.array(self.ids(symbols.tolist()))
-            out[i] = symbols.astype(np.int32)
-        return out
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and the number of each word's ids."""
+        lengths = np.fromiter(map(len, words), np.int64, len(words))
+        symbol, word = self.symbols("".join(words)), np.repeat(np.arange(len(words)), lengths)
+        short = (lengths <= LONG_WORD)[word]
+        parts = [merge_in_rounds(self, symbol[short], word[short])]
+        for i in np.flatnonzero(lengths > LONG_WORD):
+            merged = merge_by_heap(self, symbol[word == i].tolist())
+            parts.append((np.array(merged, np.int64), np.full(len(merged), i)))
+        symbol, word = (np.concatenate([x[k] for x in parts]) for k in (0, 1))
+        order = np.argsort(word, kind="stable")
+        symbol, word = symbol[order], word[order]
+        foreign = np.flatnonzero(symbol >= self.count)
+        if len(foreign):
+            width = np.ones(len(symbol), np.int64)
+            spelled = [self.ids([x]) for x in symbol[foreign].tolist()]
+            width[foreign] = list(map(len, spelled))
+            first = np.cumsum(width) - width
+            symbol, word = np.repeat(symbol, width), np.repeat(word, width)
+            for at, ids in zip(first[foreign].tolist(), spelled, strict=True):
+                symbol[at: at + len(ids)] = ids
+        return symbol.astype(np.int32), np.bincount(word, minlength=len(words))
 
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids, without the space that encoding put in front."""
         parts, pending = [], bytearray()
-        if not self.byte_of or not np.isin(ids, np.array(list(self.byte_of))).any():
-            text = "".join([self.surface[i] for i in ids.tolist()])
+        if not self.is_high_byte[ids].any():
+            text = "".join(map(self.surface.__getitem__, ids.tolist()))
         else:
             for i in ids.tolist():
                 if i in self.byte_of:
@@ -130,18 +168,15 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
-def merge_in_rounds(pieces: Pieces, words: list[list[int]]) -> list[np.ndarray]:
-    """Merges all words at once; returns the symbols left of each.
+def merge_in_rounds(pieces: Pieces, symbol: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Merges the symbols of all words at once; returns the symbols left and their words, word by word.
 
     The symbols of all words lie in one array. A round finds the smallest pair rank of each word
     and merges the occurrences of that pair from the left. Where a merge makes a pair of no greater
     rank, the word merges its leftmost occurrence only, since that new pair may come first. Words
     without a pair leave the array.
     """
-    done: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
-    sizes = np.array([len(w) for w in words], np.int64)
-    symbol = np.array([s for w in words for s in w], np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
+    done: list[tuple[np.ndarray, np.ndarray]] = [(symbol[:0], word[:0])]
     while len(symbol):
         merged, rank = pieces.lookup(symbol[:-1], symbol[1:])
         rank = np.append(np.where(word[:-1] == word[1:], rank, NONE), NONE)
@@ -150,9 +185,8 @@ def merge_in_rounds(pieces: Pieces, words: list[list[int]]) -> list[np.ndarray]:
         best = np.minimum.reduceat(rank, start)
         size = np.diff(np.append(start, len(symbol)))
         over = best == NONE
-        for at, n in zip(start[over], size[over], strict=True):
-            done[word[at]] = symbol[at: at + n]
         open_ = np.repeat(~over, size)
+        done.append((symbol[~open_], word[~open_]))
         if not open_.any():
             break
         target = np.repeat(best, size)[open_]
@@ -179,7 +213,7 @@ def merge_in_rounds(pieces: Pieces, words: list[list[int]]) -> list[np.ndarray]:
         stays = np.ones(len(symbol), bool)
         stays[at + 1] = False
         symbol, word = symbol[stays], word[stays]
-    return done
+    return tuple(np.concatenate([x[k] for x in done]) for k in (0, 1))
 
 
 def merge_by_heap(pieces: Pieces, symbols: list[int]) -> list[int]:
@@ -216,20 +250,27 @@ def encoder(model: bytes) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = Pieces(model)
-        known: dict[str, np.ndarray] = {}
+        known: dict[str, int] = {}
+        flat, size = np.zeros(0, np.int32), np.zeros(0, np.int64)
         for batch in slices(batches, "text", 1 << 20):
-            texts = pc.fill_null(batch.column("text"), "").to_pylist()
-            split = [pieces.split(t) for t in texts]
+            split = [pieces.split(t) for t in pc.fill_null(batch.column("text"), "").to_pylist()]
             if len(known) > KEPT_WORDS:
                 known.clear()
+                flat, size = flat[:0], size[:0]
             new = list({w for ws in split for w in ws if w not in known})
-            known.update(zip(new, pieces.encode_words(new), strict=True))
-            ids = [np.concatenate([known[w] for w in ws]) if ws else np.zeros(0, np.int32) for ws in split]
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            known.update(zip(new, range(len(known), len(known) + len(new)), strict=True))
+            more, sizes = pieces.encode_words(new)
+            flat, size = np.concatenate([flat, more]), np.concatenate([size, sizes])
+            counts = list(map(len, split))
+            word = np.fromiter((known[w] for ws in split for w in ws), np.int64, sum(counts))
+            length = size[word]
+            at = np.cumsum(length) - length
+            ids = flat[np.repeat((np.cumsum(size) - size)[word] - at, length) + np.arange(int(length.sum()))]
+            ends = np.append(0, np.cumsum(length))[np.cumsum([0, *counts])]
             yield pa.record_batch({
                 "id": batch.column("id"),
-                "ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32))),
-                "decoded": pa.array([pieces.decode(x) for x in ids], pa.string()),
+                "ids": pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids)),
+                "decoded": pa.array([pieces.decode(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string()),
             })
 
     return run
