@@ -34,7 +34,7 @@ def main() -> None:
     names = sys.argv[1:] or list(QUERIES)
     spark = build_session("tideline-bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus,
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": "8g",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     })

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.errors import AnalysisException
 from helpers import T0, as_set, brute_force, message_frame
 from pyspark.sql import functions as F
 
@@ -85,8 +86,14 @@ def test_scan_falls_back_to_coarser_listing(spark, folder, monkeypatch):
     for limit in (1, 0):
         monkeypatch.setattr(partitions, "MAX_LISTED_PATHS", limit)
         assert keys(scan_partitions(spark, folder, minutes)) == expected
-    monkeypatch.setattr(partitions, "MAX_BROADCAST_MINUTES", 0)
-    assert keys(scan_partitions(spark, folder, minutes)) == expected
+
+
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_missing_directory_is_an_error_at_any_size(spark, folder, monkeypatch, limit):
+    write_revisions(revisions(spark, ROWS + [("9", 3_600, 0, 1, 1)]), folder)
+    monkeypatch.setattr(partitions, "MAX_LISTED_PATHS", limit)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        keys(scan_partitions(spark, folder, seconds_frame(spark, [T0, T0 + 600, T0 + 3_600])))
 
 
 def test_job_takes_one_shuffle(spark, folder, monkeypatch):

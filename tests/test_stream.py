@@ -140,6 +140,17 @@ def test_bad_messages_are_quarantined(spark, folder):
     assert read_messages(spark, job.landing).count() == 4
 
 
+@pytest.mark.parametrize("clock", ["arrival", "event"])
+def test_rejected_messages_do_not_move_the_clock(spark, folder, clock):
+    job = Job(spark, folder, clock=clock)
+    far = 3_650 * DAY
+    job.step(("1", "a", 0, 0), ("1", "ahead", far, 5), ("1", "arrival ahead", 10, far), ("1", "both ahead", far, far))
+    assert observed(job.query, MESSAGES)[0]["rejected"] == 3
+    found = job.step(("2", "b", 30, 40)) + job.step(("3", "c", 5_000, 5_000))
+    assert sum(m["dropped_messages"] or 0 for m in observed(job.query, REVISIONS)) == 0
+    assert {r[1:3] for r in job.seen} >= {("1", 0), ("2", 30)} and found
+
+
 def test_failed_batch_is_replayed_without_doubling(spark, folder, monkeypatch):
     job = Job(spark, folder)
     real, calls = pipeline.write_notices, []

@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 GAP_SECONDS = 60
 ALLOWED_LATENESS_SECONDS = 86_400
 MAX_SKEW_SECONDS = 86_400
+# An event time may run this far ahead of its arrival, and an arrival this far ahead of the wall clock.
+MAX_AHEAD_SECONDS = 300
 MINUTE_SECONDS = 60
 
 # Columns every message has after normalisation; `arrival` drives the watermark.

@@ -54,6 +54,8 @@ def arrival_thirds(rows: DataFrame) -> DataFrame:
     """Cut the arrival range into three equal waves."""
     arrival = F.unix_seconds("arrival")
     low, high = rows.agg(F.min(arrival), F.max(arrival)).first()
+    if low is None:
+        return rows.withColumn("wave", F.lit(1))
     third = (high - low) // 3 + 1
     return rows.withColumn("wave", (F.floor((arrival - low) / third) + 1).cast("int"))
 

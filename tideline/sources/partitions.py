@@ -2,21 +2,21 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tideline.functions.event_time import floor_to, minute_of
+from tideline.functions.event_time import minute_of
 from tideline.functions.partition_path import (
     legacy_partition_path,
     partition_path,
+    partition_values,
     receipt_of_path,
     try_path_to_second,
 )
-from tideline.model import GRAINS, SESSION, raw_schema
+from tideline.model import GRAINS, SESSION, partition_columns, raw_schema
 
 # Above this many directories a scan lists the next coarser level and filters the rest.
 MAX_LISTED_PATHS = 10_000
-# A minute list is broadcast only up to this many rows (8 bytes each).
-MAX_BROADCAST_MINUTES = 1_000_000
 
 
 def seconds_frame(spark: SparkSession, seconds: list[int]) -> DataFrame:
@@ -56,7 +56,8 @@ def scan_partitions(
     """Rows of every partition that contains one of `minutes` (a column `minute`).
 
     With a coarser grain a partition also holds other minutes; these rows come along, since
-    whoever rewrites the partition needs them. A directory that does not exist is an error.
+    whoever rewrites the partition needs them. A directory that does not exist is an error,
+    however many were asked for.
     """
     level, paths = _listing(minutes, grain)
     reader = spark.read.schema(schema or raw_schema(grain))
@@ -66,12 +67,15 @@ def scan_partitions(
     if level == grain:
         return rows
     # More was listed than asked for: keep the wanted partitions and no others.
-    width = GRAINS[grain]
-    wanted = minutes.select(floor_to(F.col("minute"), width).alias("_part")).distinct()
-    if wanted.count() <= MAX_BROADCAST_MINUTES:
-        wanted = F.broadcast(wanted)
-    rows = rows.withColumn("_part", floor_to(F.col("session_start"), width))
-    return rows.join(wanted, "_part", "left_semi").drop("_part")
+    names = partition_columns(grain)
+    types = {f.name: f.dataType for f in rows.schema}
+    values = [v.cast(types[n]).alias(n) for v, n in zip(partition_values(F.col("minute"), grain), names, strict=True)]
+    wanted = minutes.select(*values).distinct()
+    absent = wanted.join(rows.select(*names).distinct(), names, "left_anti").first()
+    if absent:
+        path = "/".join(f"{n}={absent[n]}" for n in names)
+        raise AnalysisException(f"[PATH_NOT_FOUND] Path does not exist: {root}/{path}")
+    return rows.join(wanted, names, "left_semi").select(rows.columns)
 
 
 def scan_legacy_minutes(
@@ -98,7 +102,7 @@ def scan_legacy_minutes(
     )
 
 
-def register_view(rows: DataFrame, name: str = "event_time_partition") -> DataFrame:
+def register_view(rows: DataFrame, name: str = "wanted_sessions") -> DataFrame:
     """Make a scan available to SQL under a view name."""
     rows.createOrReplaceTempView(name)
     return rows

@@ -34,8 +34,9 @@ def session_revisions(
     if clock not in ("arrival", "event"):
         raise ValueError(f"clock must be 'arrival' or 'event', not {clock!r}")
     clock_ts = F.col("arrival") if clock == "arrival" else instant(F.col("event_sec"))
-    timed = messages.withColumn("clock_ts", clock_ts).withWatermark("clock_ts", "0 seconds")
-    good = accepted(observe_messages(timed, max_skew), max_skew)
+    # Rejected before the watermark: a refused message must not move the clock.
+    good = accepted(observe_messages(messages, max_skew), max_skew)
+    good = good.withColumn("clock_ts", clock_ts).withWatermark("clock_ts", "0 seconds")
     revisions = (
         combine_messages(good)
         .groupBy("session_id")
