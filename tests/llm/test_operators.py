@@ -1,0 +1,291 @@
+"""The operators on small inputs: against SQL, against brute force, and on odd rows."""
+
+import collections
+import hashlib
+import html
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from tideline.llm import language, near_dedup, pages, secrets, suffixes, toxicity, urls
+from tideline.llm.decontaminate import contamination, keep_uncontaminated
+from tideline.llm.exact_dedup import exact_duplicates, keep_first_copies
+from tideline.llm.pieces import default_model, encode_texts
+from tideline.llm.queries import ORACLES, QUERIES
+from tideline.llm.repeats import without_repeats
+
+SMALL = "/root/testdata/sf0.001"
+MIDDLE = "/root/testdata/sf0.01"
+ODD = [
+    (1, None, "en", "x"), (2, "", None, None), (3, "a b", "en", "x"), (3, "a b", "en", "x"), (None, "a b", "de", "y"),
+    (4, " \t\n ", "fr", "x"), (5, "wort " * 30000, "de", "z"), (6, "\U0001f600 \x00 12345", "en", "x"), (None, None, None, None),
+]
+CLASHING = "doc_id long, text string, lang string, source string, id long, size long, sha string, node long, word long, features string, spans string, toxic long"
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return spark.createDataFrame([(*row, 0, 0, "s", 0, 0, "f", "p", 0) for row in ODD], CLASHING).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality long, toxic long")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_its_sql(spark, name):
+    with duckdb.connect() as base:
+        base.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+        want = base.execute(ORACLES[name]).df()
+    got = QUERIES[name](spark, SMALL).toPandas()
+    assert sorted(got.columns) == sorted(want.columns)
+    columns = sorted(got.columns)
+    rows = [x[columns].astype(str).sort_values(columns).reset_index(drop=True) for x in (got, want)]
+    assert rows[0].equals(rows[1])
+
+
+EVERY = {
+    "exact": lambda spark, d: exact_duplicates(d),
+    "exact-all": lambda spark, d: exact_duplicates(d, digest_all=True),
+    "toxicity": lambda spark, d: toxicity.toxicity(d, labels_of(spark, [(3, 1, 1), (3, 1, 0), (5, 0, 0), (None, 0, 1), (6, 0, None)])),
+    "repeats": lambda spark, d: without_repeats(d),
+    "contamination": lambda spark, d: contamination(d, spark.createDataFrame([(1, "a b"), (None, "x"), (2, None)], "item_id long, text string")),
+    "near": lambda spark, d: near_dedup.near_duplicates(d),
+    "pieces": lambda spark, d: encode_texts(d, default_model()),
+    "language": lambda spark, d: language.identify(d),
+    "secrets": lambda spark, d: secrets.scan(d),
+}
+
+
+@pytest.mark.parametrize("name", sorted(EVERY))
+def test_odd_rows_and_empty_tables(spark, odd, name):
+    got = EVERY[name](spark, odd)
+    ids = collections.Counter(r.doc_id for r in got.collect())
+    assert ids == collections.Counter(r[0] for r in ODD)
+    assert EVERY[name](spark, odd.where(F.lit(False))).count() == 0
+
+
+def test_stages_keep_columns_and_rows_of_repeated_ids(spark, odd):
+    benchmark = spark.createDataFrame([(1, "a b")], "item_id long, text string")
+    for stage in (keep_first_copies, near_dedup.keep_one_of_each_group, lambda d: keep_uncontaminated(d, benchmark), language.keep_known_languages):
+        kept = stage(odd)
+        assert kept.columns == odd.columns
+        assert kept.where("doc_id = 3").count() in (0, 2)
+
+
+def test_exact_keeps_the_longest_then_smallest(spark):
+    rows = [(5, "a  b"), (2, "ab"), (7, "a  b"), (9, "c"), (8, None), (6, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.keep_id, r.group_size, r.kept) for r in exact_duplicates(docs).collect()}
+    assert got == {5: (5, 3, True), 2: (5, 3, False), 7: (5, 3, False), 9: (9, 1, True), 8: (6, 2, False), 6: (6, 2, True)}
+
+
+def brute_repeats(texts):
+    seen = collections.Counter(t[k: k + 200] for t in texts for k in range(len(t) - 199))
+    for t in texts:
+        gone = bytearray(len(t))
+        for k in range(len(t) - 199):
+            if seen[t[k: k + 200]] > 1:
+                gone[k: k + 200] = b"\1" * 200
+        yield bytes(b for b, g in zip(t, gone, strict=True) if not g), sum(1 for k in range(len(t)) if gone[k] and not (k and gone[k - 1]))
+
+
+@pytest.mark.parametrize("hot", [4096, 0])
+def test_repeats_against_brute_force(spark, docs, monkeypatch, hot):
+    monkeypatch.setattr("tideline.llm.repeats.HOT_EXTENTS", hot)
+    rows = sorted((r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect())
+    rows += [(10_001, "ab" * 300), (10_002, "é" * 250), (10_003, rows[0][1][50:400] + "x"), (10_004, "q" * 199), (10_005, "q" * 199)]
+    got = {r.doc_id: r for r in without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for (i, _), (kept, spans) in zip(rows, brute_repeats([t.encode() for _, t in rows]), strict=True):
+        assert (bytes(got[i].kept_bytes), len(got[i].spans)) == (kept, spans), i
+
+
+def test_keep_first_leaves_one_copy(spark):
+    random.seed(5)
+    passage = "".join(random.choices("abcdefgh ", k=300))
+    rows = [(i, f"{'xyz'[i]}{passage}{'uvw'[i]}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [bytes(r.kept_bytes).decode() for r in without_repeats(docs, keep="first").collect()]
+    assert sum(passage in k for k in kept) == 1 and sorted(map(len, kept)) == [2, 2, 302]
+
+
+def test_longest_factors_against_brute_force():
+    random.seed(3)
+    for _ in range(60):
+        text = bytes(random.choices(b"ab", k=random.randint(1, 50)))
+        earlier, later = suffixes.longest_factors(np.frombuffer(text, np.uint8), 20)
+        common = [[next((k for k in range(min(20, len(text) - max(i, j))) if text[i + k] != text[j + k]), min(20, len(text) - max(i, j)))
+                   for j in range(len(text))] for i in range(len(text))]
+        assert earlier.tolist() == [max(common[i][:i], default=0) for i in range(len(text))]
+        assert later.tolist() == [max(common[i][i + 1:], default=0) for i in range(len(text))]
+
+
+def test_toxicity_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    assert (rows.predicted == rows.toxic).mean() > 0.93
+    assert rows.score.between(0, 1).all()
+
+
+def test_disguised_words_are_restored(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    restorer = toxicity.Restorer(toxicity.character_model(docs))
+    for disguised, word in {"m0r0n": "moron", "l0$er": "loser", "m.o.r.o.n": "moron", "stuuupid": "stupid", "tr@sh": "trash", "w0rthle55": "worthless"}.items():
+        assert restorer(disguised) == word
+    texts = spark.createDataFrame([(1, "you l0$er and i d i o t now")], "doc_id long, text string")
+    assert toxicity.restore(texts, toxicity.character_model(docs)).first().restored == "you loser and idiot now"
+
+
+def test_every_planted_benchmark_text_is_found(spark):
+    docs, items = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "benchmark"))
+
+    def tokens(text):
+        return " ".join(re.findall(r"[^\W_]+", (text or "").lower()))
+
+    wanted = {r.item_id: tokens(r.text) for r in items.collect()}
+    want = {(r.doc_id, i) for r in docs.collect() for i, t in wanted.items() if t in tokens(r.text)}
+    got = {(r.doc_id, i) for r in contamination(docs, items).collect() for i in r["items"]}
+    assert want and got == want
+
+
+def test_language_on_held_out_rows(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").toPandas()
+    assert (rows.lang == rows.lang_pred).mean() > 0.97
+
+
+def test_language_distance_against_brute_force(spark):
+    rows = [(1, "aab ab", "x"), (2, "cdd cd cd", "y"), (3, "ab cd ab", None), (4, "12 ?", None), (5, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in language.identify(docs, held=99).collect()}
+
+    def ranked(texts):
+        counts = collections.Counter()
+        for word in re.findall(r"[a-z]+", " ".join(texts)):
+            padded = f"_{word}_"
+            counts.update(padded[k: k + n] for n in (1, 2, 3) for k in range(len(padded) - n + 1) if padded[k: k + n] != "_")
+        code = {g: sum((1 if c == "_" else ord(c) + 2) << 21 * (len(g) - 1 - k) for k, c in enumerate(g)) for g in counts}
+        return sorted(counts, key=lambda g: (-counts[g], code[g]))[:400]
+
+    profile = {"x": ranked(["aab ab"]), "y": ranked(["cdd cd cd"])}
+    own = ranked(["ab cd ab"])
+    away = {lang: sum(abs(p.index(g) - k) if g in p else 400 for k, g in enumerate(own)) for lang, p in profile.items()}
+    best = min(away, key=away.get)
+    assert got[3].lang_pred == best and got[3].score == pytest.approx(1 - away[best] / (400 * len(own)))
+    assert [got[k].lang_pred for k in (4, 5)] == ["und", "und"] and got[4].score == 0
+
+
+PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header>Top</header><nav><a href=/>Home</a></nav>
+<div class="cookie-notice">We use cookies</div><main><h1>Head &amp; more</h1><p>First  <b>bold</b>&nbsp;text<p>Second<br>line
+<aside>Side</aside><form><input><label>Name</label></form><script>var x = "<p>";</script><ul><li>one<li>two</ul></main>
+<div id="comments"><p>A long comment that is no part of the article at all, really.</p></div><footer>Foot</footer>"""
+
+
+def test_page_text():
+    assert pages.main_text(PAGE) == "Head & more\nFirst bold text\nSecond line\none\ntwo"
+    assert pages.main_text("") == "" and pages.main_text("<p>cut <b>off &amp") == "cut off &"
+    assert pages.main_text("<div>" * 3000 + "deep") == "deep"
+    plain = f"<body><div><a href=1>x</a> <a href=2>y</a></div><div><div><p>{'word ' * 60}</p><p>{'more ' * 60}</p></div></div></body>"
+    assert pages.main_text(plain) == f"{('word ' * 60).strip()}\n{('more ' * 60).strip()}"
+
+
+def test_pages_against_their_articles(spark):
+    rows = spark.read.parquet(f"{SMALL}/pages.parquet")
+    got = {r.page_id: r for r in QUERIES["op7_html"](spark, SMALL).collect()}
+    for r in rows.collect():
+        article = re.search(r"<article>(.*?)(?:</article>|$)", r.html, re.S)[1]
+        parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", p.replace("<br>", " "))).split()) for p in re.split(r"</?(?:p|h1)>", article)]
+        assert got[r.page_id].text == "\n".join(p for p in parts if p) and got[r.page_id].n_chars == len(got[r.page_id].text)
+    odd = spark.createDataFrame([(None, None, None), (1, "u", ""), (1, "u", "")], "page_id long, url string, html string")
+    assert [(r.text, r.n_chars) for r in pages.extract(odd).collect()] == [("", 0)] * 3
+
+
+def test_urls(spark):
+    rows = [
+        (1, "http://WWW.a.ORG/x?q", None), (2, "https://www.example.org/es/1", ""), (3, "http://example.org/en/12", ""), (4, "http://b.com/fr/1#t", ""),
+        (5, "ftp://c.com/de/", '<a href="http://d.net/">'), (6, "http://d.net", '<a href="//e.net/x">'), (7, "nothing", ""), (8, None, None),
+        (9, "http://f.net/1", '<a href="http://c.com/">'), (10, "http://a.org", ""), (11, "http://c.com/x", ""), (11, "http://c.com/x", ""),
+    ]
+    got = {r.page_id: r for r in urls.judge_urls(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert (got[1].host, got[1].path, got[1].rule, got[1].verdict) == ("www.a.org", "/x", "org/", "allow")
+    assert [(got[k].rule, got[k].verdict) for k in (2, 3, 4, 5)] == [
+        ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+    assert [(got[k].host, got[k].path, got[k].rule, got[k].verdict) for k in (7, 8)] == [("", "", None, "allow")] * 2
+    assert got[10].rule is None and got[10].verdict == "allow"
+    # Distrust goes back along links: f.net links to c.com, which rules block; trust reaches nobody there.
+    assert got[9].verdict == "block" and got[11].verdict == "block" and got[6].verdict == "allow"
+    assert urls.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_page_rank_against_brute_force(spark):
+    random.seed(1)
+    hosts = [f"h{k}" for k in range(8)]
+    links = {(a, b): random.randint(1, 3) for a in hosts for b in hosts if a != b and random.random() < 0.3}
+    seeds = {"h0": (2, 0), "h1": (1, 3), "h5": (0, 1)}
+    got = {r.host: r for r in urls.spread(
+        spark.createDataFrame([(a, b, w) for (a, b), w in links.items()], "a string, b string, weight long"),
+        spark.createDataFrame([(h, *n) for h, n in seeds.items()], "host string, allowed long, blocked long")).collect()}
+    for way, (name, edges) in enumerate((("trust", links), ("distrust", {(b, a): w for (a, b), w in links.items()}))):
+        total = sum(n[way] for n in seeds.values())
+        start = {h: seeds.get(h, (0, 0))[way] / total for h in hosts}
+        rank = dict(start)
+        for _ in range(urls.ROUNDS):
+            moved = dict.fromkeys(hosts, 0.0)
+            for (a, b), w in edges.items():
+                moved[b] += rank[a] * w / sum(x for (c, _), x in edges.items() if c == a)
+            rank = {h: urls.DAMPING * moved[h] + (1 - urls.DAMPING * sum(moved.values())) * start[h] for h in hosts}
+        for h in hosts:
+            assert (got[h][name] if h in got else 0.0) == pytest.approx(rank[h], abs=1e-9)
+
+
+def test_secrets(spark):
+    random.seed(2)
+    keys = ["".join(random.choices("0123456789abcdef", k=40)) for _ in range(40)]
+    rows = [(k, f"é token = \"{key}\" and so on") for k, key in enumerate(keys)]
+    rows += [(100, "AKIA" + "Q7" * 8 + " password:short PassWord: longenough1234 " + "b" * 20), (101, "a3f9c2e41b7d and plain naturalwords"), (102, None)]
+    rows += [(200 + k, "the natural language of wonderful circumstances " * 20) for k in range(20)]
+    found = secrets.span_digests(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")))
+    got = {r.doc_id: r for r in found.collect()}
+    assert got[0].spans == "assign:2:51,hex:11:51" and (got[0].n_assign, got[0].n_access, got[0].n_hex) == (1, 0, 1)
+    assert got[100].spans == "access:0:20,assign:36:60,hex:61:81"
+    assert got[100].base_sha256 == hashlib.sha256(b"access:0:20,assign:36:60,hex:61:81").hexdigest()
+    assert got[101].spans == "format:0:12" and got[101].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert got[102].spans == "" and got[200].spans == ""
+
+
+def test_pipeline_against_its_parts(spark):
+    """Each stage's decisions, taken by brute force where the data allow it."""
+    got = corpus_pipeline.run(spark, SMALL).toPandas()
+    rows = {r.doc_id: r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
+    rows = {i: t for i, t in rows.items() if re.search(r"[^\W\d_]", t or "")}
+    best = {}
+    for i, t in rows.items():
+        key = re.sub(r"[ \t-\r]", "", t)
+        best[key] = min(best.get(key, (1, 0)), (-len(t), i))
+    rows = {i: rows[i] for _, i in best.values()}
+    sets = {}
+    for i, t in rows.items():
+        w = re.findall(r"[^ \t-\r]+", re.sub("[A-Z]", lambda m: m[0].lower(), t))
+        sets[i] = {tuple(w[k: k + 5]) for k in range(max(len(w) - 4, 1))}
+    lead = {i: i for i in rows}
+    for i in sorted(rows):
+        for j in sorted(rows):
+            if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = lead[i], lead[j]
+                lead = {k: min(a, b) if v in (a, b) else v for k, v in lead.items()}
+    rows = {i: t for i, t in rows.items() if lead[i] == i}
+    items = [" ".join(re.findall(r"[^\W_]+", r.text.lower())) for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect()]
+    rows = {i: t for i, t in rows.items() if not any(x in " ".join(re.findall(r"[^\W_]+", t.lower())) for x in items)}
+    assert sorted(got.doc_id) == sorted(rows)
+    for r in got.itertuples():
+        assert r.decoded_sha256 == hashlib.sha256(rows[r.doc_id].replace("▁", " ").encode()).hexdigest()
