@@ -17,7 +17,7 @@ def decode(spark, *payloads):
 def test_round_trip(spark):
     df = message_frame(spark, [("1", "browse", 0, 5), ("", "", -T0 - 3, 5), ("é✓", "x", None, 5)])
     back = decode_messages(encode_messages(df))
-    assert back.columns == [*MESSAGE.fieldNames(), "error"]
+    assert back.columns == [*MESSAGE.fieldNames(), "error", "payload"]
     got = {(r.session_id, r.message_name, r.message_value, r.event_sec, r.error) for r in back.collect()}
     assert got == {("1", "browse", "", T0, None), ("", "", "", -3, None), ("é✓", "x", "", None, None)}
     assert [r.a for r in back.select(F.unix_seconds("arrival").alias("a")).distinct().collect()] == [T0 + 5]
@@ -40,5 +40,6 @@ def test_bad_and_timeless_messages_reach_quarantine(spark):
         [(bytearray(b"\xff"), datetime(2024, 1, 1)), (bytearray(b"\x12\x01s"), datetime(2024, 1, 1))],
         "payload binary, arrival timestamp",
     )
-    bad = quarantined(decode_messages(df))
-    assert [r.reason for r in bad.collect()] == ["missing_timestamp", "missing_timestamp"]
+    bad = quarantined(decode_messages(df)).collect()
+    assert [r.reason for r in bad] == ["undecodable", "missing_timestamp"]
+    assert bad[0].error and bytes(bad[0].payload) == b"\xff" and bad[1].payload is None

@@ -61,9 +61,10 @@ def _run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
             spark, **{"kafka.bootstrap.servers": args.kafka_servers, "subscribe": args.kafka_topic}
         )
         # Undecodable payloads have no event time, so the guard sets them aside.
-        messages = decode_messages(payloads).drop("error")
+        arrived = decode_messages(payloads)
+        messages = arrived.drop("error", "payload")
     else:
-        messages = stream_messages(
+        arrived = messages = stream_messages(
             spark, args.input_path, args.input_format, args.max_bytes_per_batch
         )
     trigger = UNTIL_DONE if args.until_done else None
@@ -74,7 +75,7 @@ def _run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
     )]
     if args.quarantine:
         queries.append(run_quarantine(
-            messages, args.quarantine, f"{args.checkpoint}/quarantine", trigger, args.max_skew
+            arrived, args.quarantine, f"{args.checkpoint}/quarantine", trigger, args.max_skew
         ))
     for query in queries:
         query.awaitTermination()

@@ -28,7 +28,11 @@ def accepted(messages: DataFrame, max_skew: int = MAX_SKEW_SECONDS) -> DataFrame
 
 
 def quarantined(messages: DataFrame, max_skew: int = MAX_SKEW_SECONDS) -> DataFrame:
-    return messages.withColumn("reason", rejection(max_skew)).where("reason is not null")
+    """Rejected messages with the reason; decoded ones keep their `error` and `payload`."""
+    reason = rejection(max_skew)
+    if "error" in messages.columns:
+        reason = F.when(F.col("error").isNotNull(), "undecodable").otherwise(reason)
+    return messages.withColumn("reason", reason).where("reason is not null")
 
 
 def over_late(

@@ -88,6 +88,9 @@ ORACLES: dict[str, str] = {
     "decoded_messages": f"""
         select k as session_id, name as message_name, props as message_value, t as event_sec,
                t as arrival_sec, true as decoded from ({EVENTS})""",
+    "undecodable_messages": f"""
+        select t as arrival_sec, 'undecodable' as reason, true as explained, true as payload_kept
+        from ({EVENTS}) where t % 7 = 0""",
     "stream_revisions": f"""
         with {WAVES}, {sessions('w1', WIDE, 'f')}, {sessions('ev', WIDE, 'g')},
         wm as (select max(t) as w from w1)

@@ -196,6 +196,20 @@ def q_decoded_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_undecodable_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payloads with a stray last byte in every seventh event second, as the quarantine keeps them."""
+    payloads = encode_messages(messages(spark, sf_dir))
+    spoilt = F.when(
+        F.unix_seconds("arrival") % 7 == 0, F.concat("payload", F.unhex(F.lit("FF")))
+    ).otherwise(F.col("payload"))
+    bad = quarantined(decode_messages(payloads.withColumn("payload", spoilt)))
+    return bad.select(
+        F.unix_seconds("arrival").alias("arrival_sec"), "reason",
+        F.col("error").isNotNull().alias("explained"),
+        (F.right(F.hex("payload"), F.lit(2)) == "FF").alias("payload_kept"),
+    )
+
+
 def q_stream_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, _ = replay_stream(
         spark, two_waves(spark, sf_dir), 2, gap=WIDE_GAP, lateness=60 * DAYS, max_skew=60 * DAYS
@@ -231,6 +245,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "late_quarantine": q_late_quarantine,
     "over_late_messages": q_over_late_messages,
     "decoded_messages": q_decoded_messages,
+    "undecodable_messages": q_undecodable_messages,
     "stream_revisions": q_stream_revisions,
     "stream_reconciled": q_stream_reconciled,
     "stream_final_sessions": q_stream_final_sessions,

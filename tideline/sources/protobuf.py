@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tideline.model import MESSAGE
@@ -61,27 +62,30 @@ def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     ]
     kind = message_class()
     for batch in batches:
-        rows = [_decode_one(kind, p) for p in batch.column("payload").to_pylist()]
+        payloads = batch.column("payload")
+        rows = [_decode_one(kind, p) for p in payloads.to_pylist()]
         decoded = zip(*rows) if rows else [[] for _ in columns]
         arrays = [pa.array(list(v), t) for v, (_, t) in zip(decoded, columns)]
         names = [name for name, _ in columns]
         yield pa.RecordBatch.from_arrays(
-            [*arrays, batch.column("arrival")], names=[*names, "arrival"]
+            [*arrays, pc.if_else(arrays[-1].is_valid(), payloads, None), batch.column("arrival")],
+            names=[*names, "payload", "arrival"],
         )
 
 
 def decode_messages(payloads: DataFrame) -> DataFrame:
-    """`payload BINARY, arrival TIMESTAMP` -> message columns and `error` (null when decoded).
+    """`payload BINARY, arrival TIMESTAMP` -> message columns, `error` (null when decoded) and `payload`.
 
     Works on batch and streaming DataFrames. A message without a timestamp decodes with a
-    null `event_sec` and is rejected by the guard, not here.
+    null `event_sec` and is rejected by the guard, not here. The payload is kept where it could
+    not be decoded, so that the quarantine loses nothing.
     """
     decoded = payloads.select("payload", "arrival").mapInArrow(
         _decode_batches,
         "session_id string, message_name string, message_value string, event_sec bigint, "
-        "error string, arrival timestamp",
+        "error string, payload binary, arrival timestamp",
     )
-    return decoded.select(*MESSAGE.fieldNames(), "error")
+    return decoded.select(*MESSAGE.fieldNames(), "error", "payload")
 
 
 def _encode_one(kind, seconds, session_id, message_name, message_value) -> bytes:
