@@ -71,6 +71,7 @@ ORACLES: dict[str, str] = {
     "dedupe_latest": DEDUPED,
     "dedupe_sql_view": DEDUPED,
     "dedupe_job": DEDUPED,
+    "dedupe_job_minute": DEDUPED,
     "reconciled_sessions": ALL_SESSIONS,
     "availability_notices": f"""select '{{"event_time_second":' || m || '}}' as value from ({MINUTES})""",
     "notice_roundtrip": f"select m as event_time_second from ({MINUTES})",

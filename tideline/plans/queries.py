@@ -136,14 +136,19 @@ def q_dedupe_sql_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(latest.drop("row_number"), "rt")
 
 
-def q_dedupe_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_dedupe_job(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
     base = shared_dir(spark, "dedupe-job")
     revisions = _revisions(spark, sf_dir).withColumn("pane", F.lit("on_time")).persist()
-    write_revisions(revisions, f"{base}/raw", "day")
+    write_revisions(revisions, f"{base}/raw", grain)
     revisions.unpersist()
-    raw = scan_table(spark, f"{base}/raw", raw_schema("day"))
-    dedupe(spark, f"{base}/raw", touched_minutes(raw), f"{base}/clean", "day")
-    return as_text(scan_table(spark, f"{base}/clean", clean_schema("day")), "rt")
+    raw = scan_table(spark, f"{base}/raw", raw_schema(grain))
+    dedupe(spark, f"{base}/raw", touched_minutes(raw), f"{base}/clean", grain)
+    return as_text(scan_table(spark, f"{base}/clean", clean_schema(grain)), "rt")
+
+
+def q_dedupe_job_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The job in the layout of one directory for each event minute."""
+    return q_dedupe_job(spark, sf_dir, "minute")
 
 
 def q_reconciled_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -239,6 +244,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_latest": q_dedupe_latest,
     "dedupe_sql_view": q_dedupe_sql_view,
     "dedupe_job": q_dedupe_job,
+    "dedupe_job_minute": q_dedupe_job_minute,
     "reconciled_sessions": q_reconciled_sessions,
     "availability_notices": q_availability_notices,
     "notice_roundtrip": q_notice_roundtrip,
