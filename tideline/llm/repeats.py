@@ -44,7 +44,11 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def extents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """gram, extent, node, place for each extent of (node, text); place holds its start and length."""
+    """gram, extent, node, place, flag for each extent of (node, text); place holds its start and length.
+
+    Of equal extents in one slice the one with the least (node, place) is flagged 1 and speaks for the
+    others, flagged 2. These are settled, so they get a key of their own and never crowd one gram.
+    """
     hashes = SpanHash()
     for batch in slices(batches, "text", 1 << 20):
         data, offsets = text_bytes(batch.column("text"))
@@ -67,12 +71,17 @@ def extents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.diff(np.append(start, len(strings)))
         begin, gram, row = strings[start], chosen[start], row[start]
         end = begin + count - 1 + LENGTH
+        node, place = batch.column("node").to_numpy()[row], (begin - offsets[row]) << 10 | (end - begin)
+        extent = mixed(hashes.spans(begin, end) + (gram - begin).astype(np.uint64))
+        order = np.lexsort((place, node))
+        _, first, which, count = np.unique(extent[order], return_index=True, return_inverse=True, return_counts=True)
+        flag = np.zeros(len(extent), np.int64)
+        flag[order] = np.where(count[which] > 1, 2, 0)
+        flag[order[first[count > 1]]] = 1
+        key = value[gram]
+        key[flag == 2] = mixed(mixed(place[flag == 2]) + node[flag == 2].astype(np.uint64))
         yield pa.record_batch({
-            "gram": value[gram].view(np.int64),
-            "extent": mixed(hashes.spans(begin, end) + (gram - begin).astype(np.uint64)).view(np.int64),
-            "node": batch.column("node").to_numpy()[row],
-            "place": (begin - offsets[row]) << 10 | (end - begin),
-        })
+            "gram": key.view(np.int64), "extent": extent.view(np.int64), "node": node, "place": place, "flag": flag})
 
 
 def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,7 +90,7 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     Adds whether the extent has equals and whether the row is the first of them. Rows are compared
     with the one before and the one after, so a hot gram streams through.
     """
-    names = ["gram", "extent", "node", "place"]
+    names = ["gram", "extent", "node", "place", "flag"]
     before, held = None, None
 
     def out(rows: dict[str, np.ndarray], low: int, high: int) -> pa.RecordBatch:
@@ -90,10 +99,12 @@ def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near[1:-1] = gram[1:] == gram[:-1]
         equal = near.copy()
         equal[1:-1] &= extent[1:] == extent[:-1]
-        shared = near[:-1] | near[1:]
-        copied = equal[:-1] | equal[1:]
+        local = rows["flag"]
+        shared = near[:-1] | near[1:] | (local > 0)
+        copied = equal[:-1] | equal[1:] | (local > 0)
         keep = shared & (np.arange(len(gram)) >= low) & (np.arange(len(gram)) < high)
-        return pa.record_batch({**{n: rows[n][keep] for n in names}, "copied": copied[keep], "first": ~equal[:-1][keep]})
+        first = ~equal[:-1] & (local < 2)
+        return pa.record_batch({**{n: rows[n][keep] for n in names[:-1]}, "copied": copied[keep], "first": first[keep]})
 
     for batch in batches:
         if not batch.num_rows:
@@ -244,7 +255,7 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts = docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")).withColumn(
         "node", F.xxhash64(F.col("id"), F.col("text")))
     shared = written(
-        texts.select("node", "text").mapInArrow(extents, "gram long, extent long, node long, place long")
+        texts.select("node", "text").mapInArrow(extents, "gram long, extent long, node long, place long, flag long")
         .repartition(width, "gram").sortWithinPartitions("gram", "extent", "node", "place")
         .mapInArrow(settle, "gram long, extent long, node long, place long, copied boolean, first boolean"), "extents")
 
