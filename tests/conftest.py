@@ -18,6 +18,8 @@ def spark():
         "spark.sql.shuffle.partitions": "4",
         "spark.driver.memory": "4g",
         "spark.ui.enabled": "false",
+        # Plan texts are compared; expression numbers grow with the tests run before.
+        "spark.sql.maxMetadataStringLength": "2000",
         "spark.ui.showConsoleProgress": "false",
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="run-"),
     })
