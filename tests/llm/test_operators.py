@@ -289,3 +289,38 @@ def test_pipeline_against_its_parts(spark):
     assert sorted(got.doc_id) == sorted(rows)
     for r in got.itertuples():
         assert r.decoded_sha256 == hashlib.sha256(rows[r.doc_id].replace("▁", " ").encode()).hexdigest()
+
+
+def common_words(left, right):
+    """Length of the longest common subsequence."""
+    row = [0] * (len(right) + 1)
+    for x in left:
+        before = 0
+        for k, y in enumerate(right, 1):
+            before, row[k] = row[k], before + 1 if x == y else max(row[k], row[k - 1])
+    return row[-1]
+
+
+def test_recall_of_shifted_short_and_edited_benchmark_texts(spark):
+    random.seed(11)
+    docs = [r.text.split() for r in spark.read.parquet(f"{MIDDLE}/documents.parquet").where("length(text) > 600").orderBy("doc_id").limit(600).collect()]
+    whole = [r.text.split() for r in spark.read.parquet(f"{MIDDLE}/benchmark.parquet").orderBy("item_id").collect()]
+    items = [x[:15] if k % 2 else x for k, x in enumerate(whole)]
+    plants = {
+        "verbatim": lambda x: x,
+        "short of a fifth": lambda x: [w for k, w in enumerate(x) if k % 5 != 4],
+        "words between": lambda x: [y for k, w in enumerate(x) for y in ([w, random.choice(docs[0])] if k % 4 == 3 else [w])],
+    }
+    rows, want = [], collections.defaultdict(set)
+    for k, words in enumerate(docs):
+        name, item = list(plants)[k % 3], k // 3 % len(items)
+        at = 24 + k % 13
+        rows.append((k, " ".join(words[:at] + (planted := plants[name](items[item])) + words[at:])))
+        assert common_words(items[item], planted) >= len(items[item]) / 2
+        want[name, len(items[item]) > 15].add((k, item))
+    found = contamination(
+        spark.createDataFrame(rows, "doc_id long, text string"),
+        spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string"))
+    got = {(r.doc_id, i) for r in found.collect() for i in r["items"]}
+    recall = {name: len(pairs & got) / len(pairs) for name, pairs in want.items()}
+    assert min(recall.values()) >= 0.9, recall
