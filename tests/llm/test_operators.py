@@ -324,3 +324,21 @@ def test_recall_of_shifted_short_and_edited_benchmark_texts(spark):
     got = {(r.doc_id, i) for r in found.collect() for i in r["items"]}
     recall = {name: len(pairs & got) / len(pairs) for name, pairs in want.items()}
     assert min(recall.values()) >= 0.9, recall
+
+
+def test_long_and_spaced_disguises_are_restored(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    model = toxicity.character_model(docs)
+    texts = {
+        "you mo" + "o" * 60 + "ron": "you moron",
+        "m o o o o o r o n": "moron",
+        "he is m o r o n": "he is moron",
+        "y o u m o r o n": "you moron",
+        "he is a m o r o n": "he is a moron",
+        "m o r o n  i d i o t": "moron idiot",
+        " ".join("moron" * 12): " ".join(["moron"] * 12),
+    }
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.restored for r in toxicity.restore(rows, model).collect()}
+    for k, want in enumerate(texts.values()):
+        assert got[k] == want

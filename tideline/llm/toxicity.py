@@ -2,7 +2,8 @@
 
 A character trigram model is counted over all documents. Stretches that look disguised (signs or
 digits among letters, letters spaced out, letters repeated three times or more) become a lattice: each
-sign offers the letters it may stand for or nothing, each long repetition one or two letters. The
+sign offers the letters it may stand for or nothing, each long repetition one or two letters, white
+space in a spaced stretch a gap or nothing. The
 Viterbi path of the lattice under the trigram model and the costs of the disguises is the restored
 word. A small logistic model over restored words and stems, fitted on labelled rows, scores the text.
 """
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.buffers import SpanHash, lowered, mixed, slices, text_bytes, unmixed, words
+from tideline.llm.buffers import WHITE, SpanHash, lowered, mixed, slices, text_bytes, unmixed, words
 from tideline.llm.tables import fold_of, table, whole_text, written
 
 # Letters that a sign or digit may stand for, most usual first.
@@ -25,13 +26,12 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "*": "abcdefghijklmnopqrstuvwxyz",
 }
 SYMBOLS = 28  # 0 a gap, 1 to 26 a to z, 27 a byte of any other letter
-SUBSTITUTE, WILD, DROP_LETTERLIKE, DROP_MARK, SQUEEZE = -0.7, -2.5, -9.0, -0.5, -0.3
+SUBSTITUTE, WILD, DROP_LETTERLIKE, DROP_MARK, SQUEEZE, GAP = -0.7, -2.5, -9.0, -0.5, -0.3, -4.0
 EDGE_MARKS = "!|+(*"  # at the end of a word these are more often punctuation
-LONGEST_TOKEN = 40
-KEPT_TOKENS = 100_000
+KEPT_TOKENS, KEPT_LENGTH = 100_000, 40  # readings of longer stretches are not remembered
 SPACED_LETTERS = 4
 LABELLED_ROWS = 2000
-CANDIDATES, MOST_WORDS, FEWEST_DOCUMENTS, LEAST_EVIDENCE = 400, 60, 4, 20.0
+FEWEST_DOCUMENTS, LEAST_EVIDENCE = 4, 20.0
 COVER, ALIKE, RIDGE = 3, 0.8, 0.05
 STEMS = (5, 6, 7, 8)  # bytes of a word's beginning that count like a word
 RATES = (0.0, 0.0025, 0.005, 0.01)  # a word counts once more for each share of the text's words it exceeds
@@ -81,6 +81,8 @@ class Restorer:
         self.known: dict[str, str] = {}
 
     def __call__(self, token: str) -> str:
+        if len(token) > KEPT_LENGTH:
+            return self.decode(token)
         if token not in self.known:
             if len(self.known) >= KEPT_TOKENS:
                 self.known.clear()
@@ -89,16 +91,29 @@ class Restorer:
 
     def lattice(self, token: str) -> list[list[tuple[str, float]]]:
         """For each place of the token its readings with their costs."""
-        low = "".join(c for c in token.lower() if c not in " .-_~")
+        low = "".join(c for c in token.lower() if c not in ".-_~").strip(WHITE)
         letters = [i for i, c in enumerate(low) if c.isalpha()]
         places, at = [], 0
         while at < len(low):
             c, end = low[at], at
             while end < len(low) and low[end] == c:
                 end += 1
+            if c in WHITE:
+                while end < len(low) and low[end] in WHITE:
+                    end += 1
+                places.append([("", 0.0), (" ", GAP if end - at == 1 else 0.0)])
+                at = end
+                continue
+            same, size, further = end, end - at, end
+            while c.isalpha() and further < len(low) and low[further] in WHITE + c:
+                further += 1
+                if low[further - 1] == c:
+                    same, size = further, size + 1
+            if size > 2:
+                end = same
             inside = bool(letters) and letters[0] < at < letters[-1]
             if c.isalpha():
-                places.append([(c * (end - at), 0.0)] if end - at < 3 else [(c, SQUEEZE), (2 * c, SQUEEZE)])
+                places.append([(c * (end - at), 0.0)] if size < 3 else [(c, SQUEEZE), (2 * c, SQUEEZE)])
             elif c in LOOKS_LIKE and end - at < 3:
                 cost = WILD if c == "*" else SUBSTITUTE
                 for _ in range(end - at):
@@ -109,24 +124,33 @@ class Restorer:
         return places
 
     def decode(self, token: str) -> str:
-        letters, solid = sum(c.isalpha() for c in token), sum(c not in " .-_~" for c in token)
-        if len(token) > LONGEST_TOKEN or (3 if solid < 16 else 2) * letters < solid:
+        letters, solid = sum(c.isalpha() for c in token), sum(c not in WHITE + ".-_~" for c in token)
+        if (3 if solid < 16 else 2) * letters < solid:
             return token
-        paths: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # Of each last two symbols only the best path goes on, as its last reading and the path before: linear in length.
+        paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
         for readings in self.lattice(token):
-            following: dict[tuple[int, int], tuple[float, str]] = {}
-            for (a, b), (score, text) in paths.items():
+            following: dict[tuple[int, int], tuple[float, tuple]] = {}
+            for (a, b), (score, path) in paths.items():
                 for reading, cost in readings:
                     x, y, total = a, b, score + cost
                     for c in reading:
-                        z = ord(c) - 96 if "a" <= c <= "z" else 27
+                        z = ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27
                         total += self.log[x][y][z]
                         x, y = y, z
                     found = following.get((x, y))
                     if found is None or total > found[0]:
-                        following[x, y] = (total, text + reading)
+                        following[x, y] = (total, (path, reading))
             paths = following
-        return max((score + self.log[a][b][0], text) for (a, b), (score, text) in paths.items())[1]
+        best, path = -np.inf, ()
+        for (a, b), (score, way) in paths.items():
+            if score + self.log[a][b][0] > best:
+                best, path = score + self.log[a][b][0], way
+        out = []
+        while path:
+            path, reading = path
+            out.append(reading)
+        return "".join(reversed(out))
 
 
 def disguised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -154,7 +178,9 @@ def disguised(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     marked = np.add.reduceat((beside | triple | parted).astype(np.int64), starts) > 0
     marked &= np.add.reduceat(is_letter.astype(np.int64), starts) > 0
     row = np.searchsorted(first, np.arange(len(starts)), side="right") - 1
-    single = (ends - starts <= 2) & letter[data[starts]] | (ends - starts == 1)
+    # One sign, or a letter of two bytes, or a letter and a mark; not a word of two letters.
+    ascii_letter = letter & (np.arange(256) < 128)
+    single = (ends - starts == 2) & letter[data[starts]] & ~(ascii_letter[data[starts]] & letter[data[ends - 1]]) | (ends - starts == 1)
     same = np.append(False, single[1:] & single[:-1] & (row[1:] == row[:-1]))
     group = np.cumsum(~same)
     size = np.bincount(group)[group]
@@ -294,11 +320,14 @@ def fit(labelled: DataFrame, model: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     counts = seen.groupBy("word").agg(
         F.count(F.when(F.col("toxic"), 1)).alias("t"), F.count(F.when(~F.col("toxic"), 1)).alias("c"),
     ).where((F.col("t") >= FEWEST_DOCUMENTS) & (F.col("t") * cleans > 2 * F.col("c") * toxics))
-    ranked = counts.orderBy(F.desc(F.col("t") - F.col("c") * toxics / cleans), "word").limit(CANDIDATES)
-    candidates = [r.word for r in ranked.collect()]
-    candidates = np.sort(np.array(candidates, np.int64))
-    # At most candidates times labelled rows.
-    hits = seen.where(F.col("word").isin(candidates.tolist())).distinct().toArrow()
+    # Words of four toxic documents or more among at most 2,000: as many as have evidence, bounded by the labelled rows.
+    table_ = counts.orderBy("word").toArrow()
+    t, c = (table_.column(x).to_numpy() for x in ("t", "c"))
+    candidates = table_.column("word").to_numpy()[evidence(t, c, toxics, cleans) >= LEAST_EVIDENCE]
+    if not len(candidates):
+        return np.zeros(0, np.uint64), np.zeros(0), float(np.log((toxics + 0.5) / (cleans + 0.5)))
+    wanted = seen.sparkSession.createDataFrame([(x,) for x in candidates.tolist()], "word long")
+    hits = seen.join(F.broadcast(wanted), "word").select("id", "toxic", "word").distinct().toArrow()
     own, who = np.unique(hits.column("id").to_numpy(), return_inverse=True)
     holds = np.zeros((len(own), len(candidates)), bool)
     holds[who, np.searchsorted(candidates, hits.column("word").to_numpy())] = True
@@ -306,17 +335,17 @@ def fit(labelled: DataFrame, model: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     label[who] = hits.column("toxic").to_numpy()
     chosen: list[int] = []
     covered, alike = np.zeros(len(own), np.int64), np.zeros(len(candidates), bool)
-    while len(chosen) < min(MOST_WORDS, len(candidates)):
+    held = holds.astype(np.float32)
+    while len(chosen) < len(candidates):
         open_ = covered < COVER
-        t = (holds & (open_ & label)[:, None]).sum(axis=0)
-        c = (holds & (open_ & ~label)[:, None]).sum(axis=0)
+        t, c = (open_ & label).astype(np.float32) @ held, (open_ & ~label).astype(np.float32) @ held
         gain = np.where((t >= FEWEST_DOCUMENTS) & (t > 2 * c), evidence(
             t, c, toxics - int((label & ~open_).sum()), cleans - int((~label & ~open_).sum())), 0)
         gain[alike] = 0
         best = int(np.argmax(gain))
         if gain[best] < LEAST_EVIDENCE:
             break
-        both = (holds & holds[:, [best]]).sum(axis=0)
+        both = held[:, best] @ held
         alike |= both >= ALIKE * (holds.sum(axis=0) + holds[:, best].sum() - both)
         chosen.append(best)
         covered += holds[:, best]
