@@ -342,3 +342,25 @@ def test_long_and_spaced_disguises_are_restored(spark):
     got = {r.doc_id: r.restored for r in toxicity.restore(rows, model).collect()}
     for k, want in enumerate(texts.values()):
         assert got[k] == want
+
+
+@pytest.mark.parametrize("driver_rows", [200_000, 0])
+def test_ranks_reach_hosts_far_from_the_seeds(spark, monkeypatch, driver_rows):
+    monkeypatch.setattr("tideline.llm.urls.DRIVER_ROWS", driver_rows)
+    far = 18
+    links = [(k, k + 1, 1) for k in range(far)] + [(far, far + 1, 2), (far + 1, far + 2, 1)]
+    got = {r.host: r for r in urls.spread(
+        spark.createDataFrame([(f"h{a}", f"h{b}", w) for a, b, w in links], "a string, b string, weight long"),
+        spark.createDataFrame([(f"h{far}", 0, 1), (f"h{far + 1}", 2, 0)], "host string, allowed long, blocked long")).collect()}
+    size = far + 3
+    for way, seed in (("trust", far + 1), ("distrust", far)):
+        move = np.zeros((size, size))
+        for a, b, w in links:
+            a, b = (a, b) if way == "trust" else (b, a)
+            move[b, a] = w
+        move /= np.maximum(move.sum(axis=0), 1)
+        exact = np.linalg.solve(np.eye(size) - urls.DAMPING * move, np.eye(size)[seed])
+        exact /= exact.sum()
+        for k in range(size):
+            assert (got[f"h{k}"][way] if f"h{k}" in got else 0.0) == pytest.approx(exact[k], abs=1e-9)
+    assert got["h0"].distrust > 0 == got["h0"].trust

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,9 @@ RULES = (
     ("com", "/de/", "block"),
 )
 DAMPING = 0.85
-ROUNDS = 10
+TOLERANCE = 1e-11  # rounds end when all that they still pass on, of a mass of 1 given to the seeds, is less
+ROUNDS = 1000  # safety bound: each round passes on at most 85 % of the one before, so 156 are enough
+DRIVER_ROWS = 200_000  # graphs and seeds of up to so many rows are solved on the driver
 DISTRUSTED = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\b(?:href|src|action)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -56,11 +59,45 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.unionByName(both.withColumn("weight", F.lit(1).cast("long"))).groupBy("a", "b").agg(F.sum("weight").alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def sum_of_rounds(ways: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
+    """kind, host, rank: what all rounds bring to each host. Each round is written, so lineage stays short."""
+    total = passed = start.select("kind", "host", F.col("seed").alias("rank"))
+    for k in range(1, ROUNDS + 1):
+        passed = written(ways.join(passed.withColumnRenamed("host", "a"), ["kind", "a"]).groupBy("kind", F.col("b").alias("host")).agg(
+            (DAMPING * F.sum(F.col("rank") * F.col("share"))).alias("rank")), "host-ranks")
+        total = total.unionByName(passed)
+        if (passed.agg(F.sum("rank")).first()[0] or 0.0) <= tolerance:
+            return total.groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+        if k % 16 == 0:
+            total = written(total.groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "host-totals")
+    raise RuntimeError(f"ranks of hosts not settled after {ROUNDS} rounds")
+
+
+def sum_on_driver(ways: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
+    """The same as sum_of_rounds, for a graph that is small."""
+    links, seeds = ways.collect(), start.collect()
+    number: dict[tuple[str, str], int] = {}
+    source = np.array([number.setdefault((r.kind, r.a), len(number)) for r in links], np.int64)
+    target = np.array([number.setdefault((r.kind, r.b), len(number)) for r in links], np.int64)
+    seeded = np.array([number.setdefault((r.kind, r.host), len(number)) for r in seeds], np.int64)
+    share = np.array([r.share for r in links], np.float64)
+    passed = np.bincount(seeded, np.array([r.seed for r in seeds], np.float64), len(number)).astype(np.float64)
+    total = passed.copy()
+    for _ in range(ROUNDS):
+        passed = DAMPING * np.bincount(target, passed[source] * share, len(number))
+        total += passed
+        if passed.sum() <= tolerance:
+            rows = [(*key, x) for key, x in zip(number, total.tolist(), strict=True) if x > 0]
+            return ways.sparkSession.createDataFrame(rows, "kind string, host string, rank double")
+    raise RuntimeError(f"ranks of hosts not settled after {ROUNDS} rounds")
+
+
+def spread(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust: personalised PageRank from (host, allowed, blocked) over (a, b, weight).
 
     Trust follows links, distrust goes back along them. What a host without onward edges holds
-    returns to the seeds. Each round is written, so lineage stays short.
+    returns to the seeds, which is the same as to let it go and to scale the sum of all rounds to 1.
+    Rounds go on until what they pass on is below the tolerance; a host so far from all seeds that its share is smaller counts as not reached.
     """
     ways = edges.select(F.lit("trust").alias("kind"), "a", "b", "weight").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("b").alias("a"), F.col("a").alias("b"), "weight"))
@@ -70,15 +107,11 @@ def spread(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS) -> DataFram
         F.lit("trust"), F.col("allowed"), F.lit("distrust"), F.col("blocked"))).alias("kind", "n")).where("n > 0")
     totals = start.groupBy("kind").agg(F.sum("n").alias("all"))
     start = written(start.join(totals, "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("seed")), "host-seeds")
-    rank = start.withColumnRenamed("seed", "rank")
-    for _ in range(rounds):
-        moved = ways.join(rank.withColumnRenamed("host", "a"), ["kind", "a"]).groupBy("kind", F.col("b").alias("host")).agg(
-            F.sum(F.col("rank") * F.col("share")).alias("got"))
-        passed = {r.kind: r.passed for r in moved.groupBy("kind").agg(F.sum("got").alias("passed")).collect()}
-        back = F.create_map(*(x for k in ("trust", "distrust") for x in (F.lit(k), F.lit(1 - DAMPING * passed.get(k, 0.0)))))
-        both = start.join(moved, ["kind", "host"], "full")
-        rank = written(both.select("kind", "host", (
-            F.coalesce("seed", F.lit(0.0)) * back[F.col("kind")] + DAMPING * F.coalesce("got", F.lit(0.0))).alias("rank")), "host-ranks")
+    small = max(ways.limit(DRIVER_ROWS + 1).count(), start.limit(DRIVER_ROWS + 1).count()) <= DRIVER_ROWS
+    total = (sum_on_driver if small else sum_of_rounds)(ways, start, tolerance)
+    whole = total.groupBy("kind").agg(F.sum("rank").alias("whole"))
+    # Written, so that its size is known and pages are not dealt out by host where it is small.
+    rank = written(total.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("rank") / F.col("whole")).alias("rank")), "host-ranks")
     return rank.groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("kind") == "trust", F.col("rank"))), F.lit(0.0)).alias("trust"),
         F.coalesce(F.sum(F.when(F.col("kind") == "distrust", F.col("rank"))), F.lit(0.0)).alias("distrust"))
