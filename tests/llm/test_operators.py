@@ -364,3 +364,25 @@ def test_ranks_reach_hosts_far_from_the_seeds(spark, monkeypatch, driver_rows):
         for k in range(size):
             assert (got[f"h{k}"][way] if f"h{k}" in got else 0.0) == pytest.approx(exact[k], abs=1e-9)
     assert got["h0"].distrust > 0 == got["h0"].trust
+
+
+LONG = "A long text of the article that nobody wants to lose. " * 5
+
+
+@pytest.mark.parametrize("source", [
+    f"<html><head><title>T</title><meta name=a><body><p>{LONG}</p></body></html>",
+    f"<html><head><title>T</title><meta name=a><p>{LONG}</p></html>",
+    f"<html><head><title>T</title>{LONG}</html>",
+    f"<body><p class=notice>Cookies!<p>{LONG}</body>",
+    f"<body><div><p class=notice>Cookies!</div><div>{LONG}</div></body>",
+    f"<body><ul><li class=share>Share<li>{LONG}</ul></body>",
+    f"<body><table><tr><td class=ad>Buy<td>{LONG}</table></body>",
+    f"<body><table><tr class=ad><td>Buy<tr><td>{LONG}</table></body>",
+    f"<body><table><thead class=ad><tr><td>Buy<tbody><tr><td>{LONG}</table></body>",
+    f"<body><div><nav>Home</div><div>{LONG}</div></body>",
+    f"<body><div class='content has-sidebar'><p>{LONG}</p></div></body>",
+    f"<body><div class='ad-free notice'><article>{LONG}</article></div><div class=ad>Buy</div></body>",
+    f"<body><div id=widget><div><p>{LONG}</p></div></div><div class=ad>Buy</div></body>",
+])
+def test_page_text_is_not_lost_to_what_is_rejected(source):
+    assert pages.main_text(source) == LONG.strip()

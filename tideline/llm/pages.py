@@ -24,12 +24,18 @@ BLOCK = set(
     "h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - {"body", "html", "td", "th", "tr", "tbody", "thead", "tfoot", "caption"}
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}}
+SELF_CLOSING |= dict.fromkeys(("tbody", "thead", "tfoot"), {"tbody", "thead", "tfoot", "caption", "tr", "td", "th"})
+HOLDS = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table", "tr"}, "th": {"table", "tr"}, "option": {"select"}} | dict.fromkeys(("tbody", "thead", "tfoot"), {"table"})
 # Words in class and id names, and roles, of parts that are not the article.
 NAMED_ASIDE = set(
     "ad ads advert adverts advertisement advertisements advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr "
     "notice notices alert popup modal overlay newsletter subscribe subscription sidebar menu nav navbar navigation breadcrumb breadcrumbs "
     "footer masthead comment comments disqus reply replies share sharing social related widget login signup toolbar pagination".split())
+HOLDING = set("has with no without hide show page layout".split())
+WRAPPERS = set("div section span table tbody tr td center".split())  # elements that may hold a whole page
+IN_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
+# A closing tag of the second kind does not reach past an open element of the first.
+HOLDERS, ENDED_WITHIN = {"td", "th", "button"}, set("p b i em strong span a u small font".split())
 ASIDE_ROLES = set("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
 TOKEN = re.compile(
@@ -42,42 +48,51 @@ HIDDEN = re.compile(r"(?<![\w-])hidden(?![\w-])(?!\s*=\s*[\"']?until)|display\s*
 class Node:
     """An element with its own pieces: text and elements in page order."""
 
-    __slots__ = ("tag", "parent", "pieces", "chars", "tags", "link_chars", "link_tags", "density", "total")
+    __slots__ = ("tag", "parent", "pieces", "aside", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
     def __init__(self, tag: str, parent: Node | None) -> None:
-        self.tag, self.parent, self.pieces = tag, parent, []
+        self.tag, self.parent, self.pieces, self.aside = tag, parent, [], ""
         self.chars = self.tags = self.link_chars = self.link_tags = 0
         self.density = self.total = 0.0
 
 
-def is_aside(tag: str, attributes: str, within: Node) -> bool:
-    """Whether an element is a menu, notice, advert or the like by its tag, role, or class and id."""
+def is_aside(tag: str, attributes: str, within: Node) -> str:
+    """How an element is a menu, notice, advert or the like: "surely" by its tag or role, "named" by class and id, "" not."""
     if tag in ASIDE:
-        return True
+        return "surely"
     if tag == "header":
         while within is not None:
             if within.tag in ("article", "main"):
-                return False
+                return ""
             within = within.parent
-        return True
+        return "surely"
     if tag in ("body", "html", "article", "main") or not attributes.strip():
-        return False
+        return ""
     role = ROLE.search(attributes)
     if role and role[1].lower() in ASIDE_ROLES or HIDDEN.search(re.sub(r"=\s*(\"[^\"]*\"|'[^']*')", lambda m: m[0] if "display" in m[0] else "=", attributes)):
-        return True
-    names = " ".join(x for m in NAMES.finditer(attributes) for x in m.groups() if x)
-    return not NAMED_ASIDE.isdisjoint(re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower()))
+        return "surely"
+    names = " ".join(x for m in NAMES.finditer(attributes) for x in m.groups() if x).split()
+    for name in names:
+        parts = [x for x in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if x]
+        # `has-sidebar` or `with-ads` say what a wrapper holds, `no-sidebar` what it lacks.
+        if parts and parts[0] not in HOLDING and not NAMED_ASIDE.isdisjoint(parts):
+            return "named"
+    return ""
 
 
 def parse(source: str) -> tuple[Node, Node]:
-    """The root and the body (the root if there is none), without what is_aside rejects."""
+    """The root and the body (the root if there is none), without what is_aside rejects.
+
+    A rejected element ends where HTML ends it, as any other does: it is read like the others and taken out afterwards.
+    """
     root = Node("", None)
     node, body, at, size = root, root, 0, len(source)
-    skipped, depth = "", 0
     while at < size:
         token = TOKEN.search(source, at)
         text = source[at: token.start() if token else size]
-        if text and not skipped:
+        if text:
+            if node.tag == "head" and not text.isspace():
+                node = node.parent
             node.pieces.append(html.unescape(text))
         if not token:
             break
@@ -86,19 +101,15 @@ def parse(source: str) -> tuple[Node, Node]:
         if not tag:
             continue
         tag = tag.lower()
-        if skipped:
-            if tag == skipped:
-                depth += -1 if closing else (tag not in VOID and not attributes.endswith("/"))
-                if not depth:
-                    skipped = ""
-            continue
         if closing:
             up = node
-            while up is not root and up.tag != tag:
+            while up is not root and up.tag != tag and not (up.tag in HOLDERS and tag in ENDED_WITHIN):
                 up = up.parent
-            if up is not root:
+            if up is not root and up.tag == tag:
                 node = up.parent
             continue
+        if node.tag == "head" and tag not in IN_HEAD:
+            node = node.parent
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(source, at)
             if not attributes.endswith("/") or tag in ("script", "style", "title", "textarea"):
@@ -118,20 +129,42 @@ def parse(source: str) -> tuple[Node, Node]:
             up = node
             while up is not root and up.tag not in SELF_CLOSING[tag] and up.tag not in HOLDS[tag]:
                 up = up.parent
-            if up.tag in SELF_CLOSING[tag]:
-                node = up.parent
-        if is_aside(tag, attributes, node):
-            if not attributes.endswith("/"):
-                skipped, depth = tag, 1
-            continue
+            while up.tag in SELF_CLOSING[tag]:
+                node = up = up.parent
         child = Node(tag, node)
+        child.aside = is_aside(tag, attributes, node)
+        if child.aside and attributes.endswith("/"):
+            continue
         node.pieces.append(child)
         node = child
         if tag == "body" and body is root:
             body = child
+    without_asides(root)
     return root, body
 
 
+def without_asides(root: Node) -> None:
+    """Takes out the rejected elements; one rejected by its name stays if it holds article or main, or most of the text of a page without these."""
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        order.append(node)
+        stack.extend(x for x in node.pieces if isinstance(x, Node) and x.aside != "surely")
+    held: dict[int, tuple[int, bool]] = {}
+    for node in reversed(order):
+        size, article = 0, node.tag in ("article", "main", "body")
+        for x in node.pieces:
+            if isinstance(x, str):
+                size += len("".join(x.split()))
+            elif x.aside != "surely":
+                size, article = size + held[id(x)][0], article or held[id(x)][1]
+        held[id(node)] = size, article
+    most = math.inf if any(node.tag in ("article", "main") for node in order) else held[id(root)][0] / 2
+    for node in order:
+        node.pieces = [x for x in node.pieces if isinstance(x, str) or not x.aside or (
+            x.aside == "named" and x.tag in WRAPPERS and (held[id(x)][1] or held[id(x)][0] > most))]
+
+
 def measure(body: Node) -> list[Node]:
     """All nodes, each after its children, with characters, tags, links, density and density sum."""
     order, stack = [], [body]
