@@ -386,3 +386,17 @@ LONG = "A long text of the article that nobody wants to lose. " * 5
 ])
 def test_page_text_is_not_lost_to_what_is_rejected(source):
     assert pages.main_text(source) == LONG.strip()
+
+
+def test_secrets_beside_separators(spark):
+    random.seed(2)
+    keys = ["".join(random.choices("0123456789abcdef", k=40)) for _ in range(40)]
+    rows = [(k, f"é token = \"{key}\" and so on") for k, key in enumerate(keys)]
+    rows += [(200 + k, "the natural language of wonderful circumstances become a decade faced " * 40) for k in range(20)]
+    rows += [(99, "AKIA" + "Q7" * 8 + " password:short PassWord: longenough1234 " + "b" * 20)]
+    one, two, three, four, five, six = "a3f9c2e41b7d", "e5b8d1a72c9f", "c6d2f8b31e4a", "f1c7a9e53d8b", "b4e9d3c68a2f", "d8a1b5f27e6c"
+    rows += [(100, f"é {one}."), (101, f"ACCESS_LANGUAGE={two}"), (102, f"natural/wonderful/{three}"), (103, f"the-{four}-natural.{five}="), (104, f"={six}/")]
+    got = {r.doc_id: r.spans for r in secrets.span_digests(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string"))).collect()}
+    assert [got[k] for k in (100, 101, 102, 103, 104)] == [
+        "format:2:14", "format:16:28", "format:18:30", "format:4:16,format:25:37", "format:1:13"]
+    assert got[200] == ""

@@ -3,8 +3,8 @@
 The matches of the base patterns are labelled credentials. From a bounded sample of each kind a
 prefix tree of their character classes is built and states whose continuations do not differ
 statistically are merged (the Alergia test), which gives a small probabilistic automaton per kind.
-Every run of credential characters in every text is then scored: by the likelihood of its format under each
-automaton, against a character-pair model of such runs counted over all texts.
+Every run of credential characters in every text, and its parts between separators, are then scored: by the
+likelihood of their format under each automaton, against a character-pair model of such runs counted over all texts.
 """
 
 from __future__ import annotations
@@ -30,6 +30,7 @@ KINDS = ("assign", "access", "hex", "format")
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 CHARACTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 CLASSES = ("0123456789", "abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "+", "/", "_", ".", "=", "-")
+SEPARATORS = ("", "=", "=/", "=/.", "=/.-")  # a run is a candidate whole and cut at the characters of each of these
 SHORTEST = 12
 SAMPLE = 200
 SIGNIFICANCE = 0.05
@@ -166,17 +167,47 @@ class Automaton:
         return out
 
 
-def candidate_runs(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, start and end of the runs of credential characters that are long enough, in bytes."""
-    solid = classes >= 0
-    edge = np.zeros(len(data) + 1, bool)
+def runs_of(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of solid bytes within rows."""
+    edge = np.zeros(len(solid) + 1, bool)
     edge[offsets] = True
-    before = np.append(False, solid[:-1]) & ~edge[:-1] if len(data) else solid
-    after = np.append(solid[1:], False) & ~edge[1:] if len(data) else solid
-    starts, ends = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+    before = np.append(False, solid[:-1]) & ~edge[:-1] if len(solid) else solid
+    after = np.append(solid[1:], False) & ~edge[1:] if len(solid) else solid
+    return np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+
+
+def candidate_runs(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, start and end, in bytes, of the runs of credential characters and of their parts that are long enough.
+
+    Parts are what lies between = / . and -, at each of these or at some, without such characters at
+    the ends; and what lies after the last = but those that end the run.
+    """
+    starts, ends = runs_of(classes >= 0, offsets)
     long = ends - starts >= SHORTEST
     starts, ends = starts[long], ends[long]
-    return np.searchsorted(offsets, starts, side="right") - 1, starts, ends
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    solid = np.cumsum(inside[:-1]) > 0
+    places, size = np.arange(len(data)), len(data) + 1
+    core = solid & ~np.isin(data, np.frombuffer(SEPARATORS[-1].encode(), np.uint8))
+    following = np.minimum.accumulate(np.where(core, places, len(data))[::-1])[::-1]  # the next character that is no separator
+    previous = np.maximum.accumulate(np.where(core, places, -1)) + 1
+    padding = np.minimum.accumulate(np.where(data != ord("="), places, len(data))[::-1])[::-1]  # the next that is no =
+    codes = [starts * size + ends]
+    for separators in SEPARATORS:
+        low, high = runs_of(solid & ~np.isin(data, np.frombuffer(separators.encode(), np.uint8)), offsets)
+        long = high - low >= SHORTEST
+        low, high = low[long], high[long]
+        codes.append(following[low] * size + previous[high - 1])
+        if separators == "=" and len(low):
+            run_end = ends[np.searchsorted(starts, low, side="right") - 1]
+            padded = (high < run_end) & (np.append(padding, len(data))[high] >= run_end)
+            codes.append(following[low[padded]] * size + run_end[padded])
+    start, end = np.divmod(np.unique(np.concatenate(codes)), size)
+    long = end - start >= SHORTEST
+    start, end = start[long], end[long]
+    return np.searchsorted(offsets, start, side="right") - 1, start, end
 
 
 def pair_codes() -> np.ndarray:
@@ -223,6 +254,25 @@ def infer(docs: DataFrame, text_column: str = "text") -> tuple[list[Automaton],
     return [Automaton(sorted(sample[k])) for k in KINDS if k in sample], np.log(pairs / pairs.sum(axis=1, keepdims=True))
 
 
+def best_apart(found: list[tuple[float, int, int]]) -> list[tuple[str, int, int]]:
+    """Spans that do not overlap, of (minus gain, start, end): the greatest gain first."""
+    kept: list[tuple[str, int, int]] = []
+    groups: list[list[tuple[float, int, int]]] = []
+    reach = -1
+    for x in sorted(found, key=lambda x: x[1]):
+        if x[1] >= reach:
+            groups.append([])
+        groups[-1].append(x)
+        reach = max(reach, x[2])
+    for group in groups:
+        taken: list[tuple[str, int, int]] = []
+        for _, a, b in sorted(group):
+            if not any(a < d and c < b for _, c, d in taken):
+                taken.append(("format", a, b))
+        kept += taken
+    return kept
+
+
 def scanner(automata: list[Automaton], pairs: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """id and spans (kind, start, end, in code points) of each row of (id, text)."""
 
@@ -232,7 +282,7 @@ def scanner(automata: list[Automaton], pairs: np.ndarray) -> Callable[[Iterator[
             data, offsets = text_bytes(batch.column("text"))
             classes = classes_of[data]
             row, start, end = candidate_runs(data, offsets, classes)
-            good = np.zeros(len(row), bool)
+            gain = np.full(len(row), -np.inf)
             if len(row) and automata:
                 flat = codes[data]
                 step = np.append(0.0, pairs[np.append(0, flat[:-1]), flat])
@@ -240,16 +290,18 @@ def scanner(automata: list[Automaton], pairs: np.ndarray) -> Callable[[Iterator[
                 plain = summed[end] - summed[start + 1] + pairs[0, flat[start]] + pairs[flat[end - 1], 0]
                 for automaton in automata:
                     score = automaton.score(classes, start, end)
-                    good |= (score / (end - start + 1) >= automaton.floor) & (score - plain >= MARGIN)
-            row, start, end = row[good], start[good], end[good]
+                    fits = (score / (end - start + 1) >= automaton.floor) & (score - plain >= MARGIN)
+                    gain = np.where(fits, np.maximum(gain, score - plain), gain)
+            good = gain > -np.inf
+            row, start, end, gain = row[good], start[good], end[good], gain[good]
             points = np.cumsum(np.append(0, (data & 0xC0) != 0x80))
-            extra: list[list[tuple[str, int, int]]] = [[] for _ in range(batch.num_rows)]
-            for r, a, b in zip(row.tolist(), (points[start] - points[offsets[row]]).tolist(), (points[end] - points[offsets[row]]).tolist(), strict=True):
-                extra[r].append(("format", a, b))
+            extra: list[list[tuple[float, int, int]]] = [[] for _ in range(batch.num_rows)]
+            for r, g, a, b in zip(row.tolist(), gain.tolist(), (points[start] - points[offsets[row]]).tolist(), (points[end] - points[offsets[row]]).tolist(), strict=True):
+                extra[r].append((-g, a, b))
             spans = []
             for text, more in zip(pc.fill_null(batch.column("text"), "").to_pylist(), extra, strict=True):
                 base = [(k, a, b) for k, a, b, _ in base_matches(text)]
-                new = [x for x in more if not any(x[1] < b and a < x[2] for _, a, b in base)]
+                new = best_apart([x for x in more if not any(x[1] < b and a < x[2] for _, a, b in base)])
                 spans.append([{"kind": k, "start": a, "end": b} for k, a, b in sorted(base + new, key=lambda s: (s[1], KINDS.index(s[0])))])
             yield pa.record_batch({"id": batch.column("id"), "spans": pa.array(spans, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))})
 
@@ -259,8 +311,8 @@ def scanner(automata: list[Automaton], pairs: np.ndarray) -> Callable[[Iterator[
 def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: id and spans, an array of (kind, start, end) in code points.
 
-    Base matches are of kind assign, access and hex; a run of credential characters that overlaps none of
-    them and has the likelihood of a credential's format is of kind format. Spans come by start, then
+    Base matches are of kind assign, access and hex; a run of credential characters, or a part of it between separators,
+    that overlaps none of them and has the likelihood of a credential's format is of kind format; of overlapping ones the likeliest. Spans come by start, then
     kind. A null text counts as empty; repeated rows get equal results.
     """
     id_type = docs.schema[id_column].dataType.simpleString()
