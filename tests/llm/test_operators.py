@@ -400,3 +400,17 @@ def test_secrets_beside_separators(spark):
     assert [got[k] for k in (100, 101, 102, 103, 104)] == [
         "format:2:14", "format:16:28", "format:18:30", "format:4:16,format:25:37", "format:1:13"]
     assert got[200] == ""
+
+
+def test_language_stage_rejects_unknown_text_and_keeps_rows_without_id(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet").select("doc_id", "text", "lang")
+    random.seed(4)
+    noise = [" ".join("".join(random.choices("bcdfghjklmnpqrstvwxyz", k=6)) for _ in range(80)) for _ in range(20)]
+    noise += ["это не по нашему " * 20]
+    clean = docs.where("length(text) > 300").limit(5).collect()
+    rows = [(-1 - k, x, None) for k, x in enumerate(noise)] + [(None, r.text, None) for r in clean]
+    kept = language.keep_known_languages(docs.unionByName(spark.createDataFrame(rows, docs.schema))).collect()
+    assert not [r for r in kept if r.doc_id is not None and r.doc_id < 0]
+    assert sorted(r.text for r in kept if r.doc_id is None) == sorted(r.text for r in clean)
+    labelled = [r.doc_id for r in docs.where("lang is not null").collect() if re.search(r"[^\W\d_]", r.text or "")]
+    assert set(labelled) <= {r.doc_id for r in kept}

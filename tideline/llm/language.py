@@ -9,9 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tideline.llm.buffers import slices
-from tideline.llm.tables import fold_of, table, whole_text
+from tideline.llm.tables import fold_of, table, whole_text, written
 
 PROFILE_GRAMS = 400
 UNKNOWN = "und"
@@ -116,6 +117,15 @@ def judge(names: list[str], profiles: list[np.ndarray], most: int) -> Callable[[
     return run
 
 
+def judge_by(learned: DataFrame, most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """judge() with the profiles of learn_profiles()."""
+    profiles: dict[str, list[int]] = {}
+    for row in sorted(learned.collect(), key=lambda r: (r.lang, r["rank"])):
+        profiles.setdefault(row.lang, []).append(row.gram)
+    names = sorted(profiles)
+    return judge(names, [np.array(profiles[n], np.int64) for n in names], most)
+
+
 def identify(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
     folds: int = 4, held: int = 2, most: int = PROFILE_GRAMS,
@@ -132,24 +142,36 @@ def identify(
     rows = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang"),
         (fold_of(id_column, folds) == held).alias("held_out"))
-    profiles: dict[str, list[int]] = {}
     learned = learn_profiles(rows.where("not held_out and lang is not null and text is not null").select("lang", "text"), most)
-    for row in sorted(learned.collect(), key=lambda r: (r.lang, r["rank"])):
-        profiles.setdefault(row.lang, []).append(row.gram)
-    names = sorted(profiles)
     id_type = docs.schema[id_column].dataType.simpleString()
     return rows.select("id", "text").mapInArrow(
-        judge(names, [np.array(profiles[n], np.int64) for n in names], most), f"id {id_type}, lang_pred string, score double",
+        judge_by(learned, most), f"id {id_type}, lang_pred string, score double",
     ).select(F.col("id").alias(id_column), (fold_of("id", folds) == held).alias("held_out"), "lang_pred", "score")
 
 
-def keep_known_languages(docs: DataFrame, id_column: str = "doc_id", **columns: str) -> DataFrame:
-    """The input rows without the documents that are `und` or share no gram with any language.
+def keep_known_languages(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", lang_column: str = "lang",
+    folds: int = 4, held: int = 2, most: int = PROFILE_GRAMS,
+) -> DataFrame:
+    """The input rows without those that are `und` or further from their language than all labelled texts of it.
 
-    A document stays if one of the rows of its id does; a row without an id goes, as nothing can be said of it.
+    Rows are judged one by one, those without an id too. The bound is the least score among all texts
+    with a language that are judged to be in the same one and have as many characters, to a factor of
+    two; where there are none, the least score of that language. So no labelled text with letters goes.
     """
-    known = identify(docs, id_column, **columns).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0))
-    return docs.join(known.select(id_column).distinct(), id_column, "left_semi").select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("id"), F.col(text_column).alias("text"))
+    labelled = docs.select(
+        F.col(lang_column).cast("string").alias("lang"), F.col(text_column).alias("text"), (fold_of(id_column, folds) == held).alias("held_out")
+    ).where("not held_out and lang is not null and text is not null")
+    schema = StructType([StructField("id", rows.schema["id"].dataType), StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    judged = written(rows.mapInArrow(judge_by(learn_profiles(labelled.select("lang", "text"), most), most), schema), "judged-rows")
+    judged = judged.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") > 0)).withColumn(
+        "band", F.floor(F.log2(F.length(F.col("id")[text_column]))).cast("int"))
+    known = judged.where(F.col("id")[lang_column].isNotNull())
+    by_band = known.groupBy("lang_pred", "band").agg(F.min("score").alias("least_here"))
+    by_lang = known.groupBy("lang_pred").agg(F.min("score").alias("least"))
+    near = judged.join(F.broadcast(by_band), ["lang_pred", "band"], "left").join(F.broadcast(by_lang), "lang_pred", "left")
+    return near.where(F.col("score") >= F.coalesce("least_here", "least", F.lit(0.0))).select("id.*")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
