@@ -414,3 +414,15 @@ def test_language_stage_rejects_unknown_text_and_keeps_rows_without_id(spark):
     assert sorted(r.text for r in kept if r.doc_id is None) == sorted(r.text for r in clean)
     labelled = [r.doc_id for r in docs.where("lang is not null").collect() if re.search(r"[^\W\d_]", r.text or "")]
     assert set(labelled) <= {r.doc_id for r in kept}
+
+
+def test_short_and_unspaced_benchmark_texts_are_found(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) > 300").limit(200).collect()]
+    chinese = "\u8bf7\u95ee\u8fd9\u4e2a\u57ce\u5e02\u7684\u5386\u53f2\u535a\u7269\u9986\u661f\u671f\u51e0\u5f00\u95e8\u95e8\u7968\u591a\u5c11\u94b1"
+    items = [(1, "Quaxor zemlit"), (2, chinese), (3, "vorpal"), (4, "quaxor vorpal"), (5, "\u4f60\u597d\u5417")]
+    rows = docs + [
+        (-1, docs[0][1] + " \u201cquaxor\u201d\u2014zemlit\u2026 " + docs[1][1]), (-2, docs[0][1] + "\u3002" + chinese + "\u3002" + docs[1][1]),
+        (-3, "\u00abvorpal\u00bb " + docs[2][1]), (-4, "quaxor " + docs[0][1]), (-5, "\u5927\u4f60\u597d\u5417\uff1f"), (-6, "vorpals"), (-7, "quaxor"), (-8, "vorpal")]
+    found = contamination(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: r["items"] for r in found.collect() if r["items"]}
+    assert got == {-1: [1], -2: [2], -3: [3], -5: [5], -8: [3]}
