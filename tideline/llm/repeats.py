@@ -4,11 +4,11 @@ Every 200-byte string chooses one of its 100-byte grams by content, that of the
 strings choose equal grams at equal offsets. The strings of a document that choose one gram are
 consecutive and form a stretch of text, the extent. Extents meet by the hash of their gram:
 
-- extents that are equal as a whole repeat in all their strings; this settles the inside of
+- extents that are equal as a whole, by a 64-bit hash, repeat in all their strings; this settles the inside of
   shared passages with one row for about fifty bytes and without any text;
 - where one gram has different extents, one of each is read again. Their bytes are put
-  together, and in suffix order the previous and next smaller places give for each place its
-  longest earlier match, and by the mirror image its longest later one. Places with a match of 200 bytes repeat;
+  together and places ranked by their next 200 bytes. In the order of these ranks the nearest places that
+  start earlier or later tell whether a place has a match of 200 bytes there; the match's full length is not needed;
 - a gram with very many different extents is not gathered: its strings are hashed (128 bits)
   and counted by Spark.
 """
