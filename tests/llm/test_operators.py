@@ -45,7 +45,8 @@ def labels_of(spark, rows):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     with duckdb.connect() as base:
-        base.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+        for view in ("documents", "embeddings"):
+            base.execute(f"CREATE VIEW {view} AS SELECT * FROM '{SMALL}/{view}.parquet'")
         want = base.execute(ORACLES[name]).df()
     got = QUERIES[name](spark, SMALL).toPandas()
     assert sorted(got.columns) == sorted(want.columns)
