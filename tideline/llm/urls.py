@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +18,6 @@ RULES = (
 DAMPING = 0.85
 TOLERANCE = 1e-11  # rounds end when all that they still pass on, of a mass of 1 given to the seeds, is less
 ROUNDS = 1000  # safety bound: each round passes on at most 85 % of the one before, so 156 are enough
-DRIVER_ROWS = 200_000  # graphs and seeds of up to so many rows are solved on the driver
 DISTRUSTED = 0.5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)\b(?:href|src|action)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s<>]+)"""
@@ -73,25 +71,6 @@ def sum_of_rounds(ways: DataFrame, start: DataFrame, tolerance: float) -> DataFr
     raise RuntimeError(f"ranks of hosts not settled after {ROUNDS} rounds")
 
 
-def sum_on_driver(ways: DataFrame, start: DataFrame, tolerance: float) -> DataFrame:
-    """The same as sum_of_rounds, for a graph that is small."""
-    links, seeds = ways.collect(), start.collect()
-    number: dict[tuple[str, str], int] = {}
-    source = np.array([number.setdefault((r.kind, r.a), len(number)) for r in links], np.int64)
-    target = np.array([number.setdefault((r.kind, r.b), len(number)) for r in links], np.int64)
-    seeded = np.array([number.setdefault((r.kind, r.host), len(number)) for r in seeds], np.int64)
-    share = np.array([r.share for r in links], np.float64)
-    passed = np.bincount(seeded, np.array([r.seed for r in seeds], np.float64), len(number)).astype(np.float64)
-    total = passed.copy()
-    for _ in range(ROUNDS):
-        passed = DAMPING * np.bincount(target, passed[source] * share, len(number))
-        total += passed
-        if passed.sum() <= tolerance:
-            rows = [(*key, x) for key, x in zip(number, total.tolist(), strict=True) if x > 0]
-            return ways.sparkSession.createDataFrame(rows, "kind string, host string, rank double")
-    raise RuntimeError(f"ranks of hosts not settled after {ROUNDS} rounds")
-
-
 def spread(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """host, trust, distrust: personalised PageRank from (host, allowed, blocked) over (a, b, weight).
 
@@ -107,8 +86,7 @@ def spread(edges: DataFrame, seeds: DataFrame, tolerance: float = TOLERANCE) ->
         F.lit("trust"), F.col("allowed"), F.lit("distrust"), F.col("blocked"))).alias("kind", "n")).where("n > 0")
     totals = start.groupBy("kind").agg(F.sum("n").alias("all"))
     start = written(start.join(totals, "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("seed")), "host-seeds")
-    small = max(ways.limit(DRIVER_ROWS + 1).count(), start.limit(DRIVER_ROWS + 1).count()) <= DRIVER_ROWS
-    total = (sum_on_driver if small else sum_of_rounds)(ways, start, tolerance)
+    total = sum_of_rounds(ways, start, tolerance)
     whole = total.groupBy("kind").agg(F.sum("rank").alias("whole"))
     # Written, so that its size is known and pages are not dealt out by host where it is small.
     rank = written(total.join(F.broadcast(whole), "kind").select("kind", "host", (F.col("rank") / F.col("whole")).alias("rank")), "host-ranks")
