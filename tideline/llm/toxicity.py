@@ -124,8 +124,8 @@ class Restorer:
         return places
 
     def decode(self, token: str) -> str:
-        letters, solid = sum(c.isalpha() for c in token), sum(c not in WHITE + ".-_~" for c in token)
-        if (3 if solid < 16 else 2) * letters < solid:
+        # Without any letter there is nothing to tell a word from a number.
+        if not any(map(str.isalpha, token)):
             return token
         # Of each last two symbols only the best path goes on, as its last reading and the path before: linear in length.
         paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
