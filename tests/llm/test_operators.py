@@ -345,9 +345,33 @@ def test_long_and_spaced_disguises_are_restored(spark):
         assert got[k] == want
 
 
-@pytest.mark.parametrize("driver_rows", [200_000, 0])
-def test_ranks_reach_hosts_far_from_the_seeds(spark, monkeypatch, driver_rows):
-    monkeypatch.setattr("tideline.llm.urls.DRIVER_ROWS", driver_rows)
+def test_ranks_of_a_random_graph_equal_the_exact_solution(spark):
+    random.seed(8)
+    size = 2000
+    # A hub that a third of all links lead to, a long tail, hosts without links onward and hosts apart.
+    links = collections.Counter()
+    for _ in range(6000):
+        a, b = random.randrange(size - 100), 0 if random.random() < 0.33 else random.randrange(size - 50)
+        if a != b and a % 7:
+            links[a, b] += 1
+    seeds = {k: (k % 3 == 0, k % 3 == 1) for k in random.sample(range(size), 60)}
+    got = {r.host: r for r in urls.spread(
+        spark.createDataFrame([(f"h{a}", f"h{b}", w) for (a, b), w in links.items()], "a string, b string, weight long"),
+        spark.createDataFrame([(f"h{k}", int(x), int(y)) for k, (x, y) in seeds.items()], "host string, allowed long, blocked long"),
+        tolerance=1e-3).collect()}
+    for way, which in (("trust", 0), ("distrust", 1)):
+        move = np.zeros((size, size))
+        for (a, b), w in links.items():
+            a, b = (a, b) if way == "trust" else (b, a)
+            move[b, a] = w
+        move /= np.maximum(move.sum(axis=0), 1)
+        start = np.array([float(k in seeds and seeds[k][which]) for k in range(size)])
+        exact = np.linalg.solve(np.eye(size) - urls.DAMPING * move, start / start.sum())
+        exact /= exact.sum()
+        assert max(abs((got[f"h{k}"][way] if f"h{k}" in got else 0.0) - exact[k]) for k in range(size)) < 6e-3
+
+
+def test_ranks_reach_hosts_far_from_the_seeds(spark):
     far = 18
     links = [(k, k + 1, 1) for k in range(far)] + [(far, far + 1, 2), (far + 1, far + 2, 1)]
     got = {r.host: r for r in urls.spread(
@@ -427,3 +451,71 @@ def test_short_and_unspaced_benchmark_texts_are_found(spark):
     found = contamination(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), spark.createDataFrame(items, "item_id long, text string"))
     got = {r.doc_id: r["items"] for r in found.collect() if r["items"]}
     assert got == {-1: [1], -2: [2], -3: [3], -5: [5], -8: [3]}
+
+
+def test_blocks_of_the_benchmark_give_the_same_rows(spark, monkeypatch):
+    docs = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) > 300").orderBy("doc_id").limit(30).collect()]
+    items = [(k, x.text) for k, x in enumerate(spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").limit(6).collect())]
+    items = [*items, (2, items[2][1]), (9, "two words")]
+    rows = [(k, f"{x} {items[k % 5][1]} {docs[-1]}" if k % 4 == 0 else x) for k, x in enumerate(docs)]
+    rows += [rows[4], (4, docs[7]), (None, rows[0][1]), (None, docs[3]), (None, None), (50, "two words"), (51, "")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    wanted = spark.createDataFrame(items, "item_id long, text string")
+
+    def found():
+        return sorted(((r.doc_id is None, r.doc_id or 0, r.contaminated, tuple(r["items"])) for r in contamination(frame, wanted).collect()))
+
+    whole = found()
+    assert len(whole) == len(rows) and any(r[0] and r[2] for r in whole) and any(r[0] and not r[2] for r in whole)
+    for block in (1, 3):
+        monkeypatch.setattr("tideline.llm.decontaminate.BENCHMARK_BLOCK", block)
+        assert found() == whole
+
+
+def test_benchmark_text_in_capitals_with_accents_is_found(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) > 300").limit(100).collect()]
+    item = "L'\u00e9cole o\u00f9 l'\u00e9l\u00e8ve \u00e9tudie les \u00e9toiles lointaines pr\u00e8s d'\u00c9vreux ferme d\u00e8s l'\u00e9t\u00e9 car l'h\u00f4tel brûle"
+    found = contamination(
+        spark.createDataFrame([*docs, (-1, docs[0][1] + " " + item.upper() + " " + docs[1][1])], "doc_id long, text string").coalesce(1),
+        spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert [r.doc_id for r in found.where("contaminated").collect()] == [-1]
+
+
+def test_words_with_few_letters_left_are_restored(spark):
+    restorer = toxicity.Restorer(toxicity.character_model(spark.read.parquet(f"{MIDDLE}/documents.parquet")))
+    for disguised, word in {"w0r7hl355": "worthless", "7r4$h": "trash", "1d10t": "idiot", "l0$3r": "loser", "$7up1d": "stupid"}.items():
+        assert restorer(disguised) == word
+    for disguised in ("@55h0l3", "4$$h0l3", "5h17"):
+        assert restorer(disguised).isalpha()
+    assert restorer("1234") == "1234"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_reading_is_the_best_of_all_paths(spark, seed):
+    random.seed(seed)
+    model = toxicity.character_model(spark.read.parquet(f"{SMALL}/documents.parquet"))
+    restorer = toxicity.Restorer(model)
+
+    def paths(places):
+        if not places:
+            return [("", 0.0)]
+        return [(reading + rest, cost + more) for rest, more in paths(places[1:]) for reading, cost in places[0]]
+
+    def score(text, cost):
+        codes = [0, 0, *(ord(c) - 96 if "a" <= c <= "z" else 0 if c == " " else 27 for c in text), 0]
+        return cost + sum(model[a][b][c] for a, b, c in zip(codes, codes[1:], codes[2:], strict=False))
+
+    for _ in range(40):
+        token = "".join(random.choices("abeorst0134$!@ 7", k=random.randint(2, 7))).strip() or "a"
+        if not any(map(str.isalpha, token)):
+            continue
+        best = max(score(*p) for p in paths(restorer.lattice(token)))
+        read = restorer.decode(token)
+        assert best == pytest.approx(max(score(t, c) for t, c in paths(restorer.lattice(token)) if t == read))
+
+
+def test_recall_and_false_alarms_on_held_out_rows(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
+    toxic = rows.toxic == 1
+    assert (rows.predicted[toxic] == 1).mean() >= 0.85 and (rows.predicted[~toxic] == 1).mean() <= 0.01
