@@ -481,6 +481,13 @@ def test_benchmark_text_in_capitals_with_accents_is_found(spark):
     assert [r.doc_id for r in found.where("contaminated").collect()] == [-1]
 
 
+def test_sketch_of_a_sample_finds_the_same(spark, monkeypatch):
+    docs, items = (spark.read.parquet(f"{MIDDLE}/{t}.parquet") for t in ("documents", "benchmark"))
+    whole = {(r.doc_id, i) for r in contamination(docs, items).collect() for i in r["items"]}
+    monkeypatch.setattr("tideline.llm.decontaminate.SKETCH_ROWS", 250)
+    assert {(r.doc_id, i) for r in contamination(docs, items).collect() for i in r["items"]} == whole
+
+
 def test_words_with_few_letters_left_are_restored(spark):
     restorer = toxicity.Restorer(toxicity.character_model(spark.read.parquet(f"{MIDDLE}/documents.parquet")))
     for disguised, word in {"w0r7hl355": "worthless", "7r4$h": "trash", "1d10t": "idiot", "l0$3r": "loser", "$7up1d": "stupid"}.items():
