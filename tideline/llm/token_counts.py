@@ -164,7 +164,9 @@ def token_counts(
         else:
             texts = texts.dropDuplicates(["content"]).join(misses, "content", "left_semi")
         texts.mapInArrow(encode_misses(tokenizer_path, content), STORED).write.parquet(f"{folder}/run-{uuid.uuid4().hex}")
-    return keyed.join(stored_counts(spark, folder), "content", "left").select(
+    # Written, so that nothing but the join meets the rows of one content: a common one can be split.
+    counts = written(stored_counts(spark, folder), "token-counts")
+    return keyed.join(counts, "content", "left").select(
         F.col("id").alias(id_column), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"),
     )
 
