@@ -1,19 +1,22 @@
 """Decoding of protobuf-encoded messages as a distributed job.
 
-Spark's own `from_protobuf` needs the spark-protobuf module; where it is not loaded, Arrow
-batches go through the protobuf runtime. Bytes that cannot be decoded become a row with an
-error text, so one bad message does not fail its task.
+Spark's own `from_protobuf` needs the spark-protobuf module, which is not loaded here. Arrow batches
+are read column by column instead (`sources.wire`); only payloads that are not plain messages go
+through the protobuf runtime. Bytes that cannot be decoded become a row with an error text, so one
+bad message does not fail its task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tideline.model import MESSAGE
+from tideline.sources.wire import read_messages
 
 # The wire contract of a message (proto3).
 MESSAGE_FIELDS = {"timestamp": 1, "session_id": 2, "message_name": 3, "message_value": 4}
@@ -56,20 +59,29 @@ def _decode_one(kind, payload: bytes | None):
 
 
 def _decode_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    columns = [
-        ("session_id", pa.string()), ("message_name", pa.string()), ("message_value", pa.string()),
-        ("event_sec", pa.int64()), ("error", pa.string()),
-    ]
-    kind = message_class()
+    kind = None
+    names = ["session_id", "message_name", "message_value"]
+    types = [*[pa.string()] * len(names), pa.int64(), pa.string()]
     for batch in batches:
         payloads = batch.column("payload")
-        rows = [_decode_one(kind, p) for p in payloads.to_pylist()]
-        decoded = zip(*rows) if rows else [[] for _ in columns]
-        arrays = [pa.array(list(v), t) for v, (_, t) in zip(decoded, columns)]
-        names = [name for name, _ in columns]
+        if payloads.offset:
+            payloads = payloads.take(pa.array(np.arange(len(payloads))))
+        read = read_messages(payloads, MESSAGE_FIELDS["timestamp"], [MESSAGE_FIELDS[n] for n in names])
+        columns = [*(read.strings[MESSAGE_FIELDS[n]] for n in names), read.seconds, pa.nulls(len(payloads), pa.string())]
+        # What the columnar reader does not know, and what is missing, the runtime decides.
+        odd = np.flatnonzero(read.odd | payloads.is_null().to_numpy(zero_copy_only=False))
+        if len(odd):
+            kind = kind or message_class()
+            rows = [_decode_one(kind, p) for p in payloads.take(pa.array(odd)).to_pylist()]
+            mask = np.zeros(len(payloads), bool)
+            mask[odd] = True
+            columns = [
+                pc.replace_with_mask(c, pa.array(mask), pa.array(list(v), t))
+                for c, v, t in zip(columns, zip(*rows), types, strict=True)
+            ]
         yield pa.RecordBatch.from_arrays(
-            [*arrays, pc.if_else(arrays[-1].is_valid(), payloads, None), batch.column("arrival")],
-            names=[*names, "payload", "arrival"],
+            [*columns, pc.if_else(columns[-1].is_valid(), payloads, None), batch.column("arrival")],
+            names=[*names, "event_sec", "error", "payload", "arrival"],
         )
 
 
