@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from tideline.model import clean_schema, raw_schema
 from tideline.operators.dedupe import latest_revision
 from tideline.operators.reconcile import reconcile
-from tideline.plans.dedupe_job import dedupe, dedupe_legacy, deduplicated
+from tideline.plans.dedupe_job import dedupe, dedupe_legacy, deduplicated, rewrite
+from tideline.plans.reconcile_job import reconcile_days
 from tideline.plans.replay import replay_revisions
 from tideline.sinks import raw as raw_sink
+from tideline.sinks.clean import write_clean
 from tideline.sinks.raw import touched_minutes, write_revisions
 from tideline.sources import partitions
 from tideline.sources.partitions import scan_partitions, scan_table, seconds_frame
@@ -96,13 +98,34 @@ def test_missing_directory_is_an_error_at_any_size(spark, folder, monkeypatch, l
         keys(scan_partitions(spark, folder, seconds_frame(spark, [T0, T0 + 600, T0 + 3_600])))
 
 
-def test_job_takes_one_shuffle(spark, folder, monkeypatch):
-    monkeypatch.setattr(raw_sink, "ROWS_PER_TASK", 1)
+def test_job_drops_older_revisions_before_the_shuffle(spark, folder, monkeypatch):
     write_revisions(revisions(spark, ROWS), folder)
     rows = scan_partitions(spark, folder, seconds_frame(spark, [T0]))
-    plan = deduplicated(rows.withColumn("minute", F.expr("session_start div 60 * 60")))
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert text.count("Exchange ") == 1 and "rangepartitioning(minute" in text
+    latest = deduplicated(rows.withColumn("minute", F.expr("session_start div 60 * 60")))
+    text = latest._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange ") == 1 and "hashpartitioning(minute" in text
+    above, below = text.split("Exchange ")
+    assert "Final" in above and "WindowGroupLimit" in below and "Partial" in below
+    # The ranges of the write come from what is left.
+    monkeypatch.setattr(raw_sink, "ROWS_PER_TASK", 1)
+    text = raw_sink.clustered(latest)._jdf.queryExecution().executedPlan().toString()
+    assert text.index("rangepartitioning(minute") < text.index("WindowGroupLimit")
+
+
+def test_job_reads_the_raw_rows_once(spark, folder):
+    write_revisions(revisions(spark, ROWS), f"{folder}/raw")
+    taken = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            taken.add(batch.num_rows)
+            yield batch
+
+    raw = scan_partitions(spark, f"{folder}/raw", seconds_frame(spark, [T0, T0 + 60]))
+    raw = raw.withColumn("minute", F.expr("session_start div 60 * 60"))
+    rewrite(raw.mapInArrow(count, raw.schema), f"{folder}/clean", "minute")
+    assert taken.value == len(ROWS)
+    assert keys(scan_table(spark, f"{folder}/clean", clean_schema())) == [("1", 0, 200), ("1", 61, 100), ("2", 10, 100)]
 
 
 def test_replay_of_a_batch_adds_no_rows(spark, folder):
@@ -112,14 +135,21 @@ def test_replay_of_a_batch_adds_no_rows(spark, folder):
     assert scan_table(spark, folder, raw_schema()).count() == len(ROWS)
 
 
-def test_older_layout(spark, folder):
+def older_layout(spark, root):
     # Written leaf by leaf: Spark itself cannot write one partition name twice. Counts are INT there.
-    raw, clean = f"{folder}/raw", f"{folder}/clean"
-    for minute, rt, rows in (("00", 100, ROWS[:1]), ("00", 200, ROWS[1:3]), ("01", 100, ROWS[3:])):
+    for minute, rt, rows in (("00", 100, ROWS[:1]), ("00", 200, ROWS[1:3]), ("01", 100, ROWS[3:]), ("02", 100, ROWS[3:])):
         df = revisions(spark, rows).select(
             "sessionId", "sessionLengthSeconds", F.col("messageCount").cast("map<string,int>").alias("messageCount")
         )
-        df.write.parquet(f"{raw}/y=2024/m=01/d=01/h=00/m={minute}/rt={rt}")
+        df.write.parquet(f"{root}/y=2024/m=01/d=01/h=00/m={minute}/rt={rt}")
+
+
+@pytest.mark.parametrize("limit", [10_000, 1, 0])
+def test_older_layout(spark, folder, monkeypatch, limit):
+    # With a limit of 1 the hour is listed, with 0 the day; the third minute is there but not asked for.
+    raw, clean = f"{folder}/raw", f"{folder}/clean"
+    older_layout(spark, raw)
+    monkeypatch.setattr(partitions, "MAX_LISTED_PATHS", limit)
     dedupe_legacy(spark, raw, [T0, T0 + 60], clean)
     got = scan_table(spark, clean, clean_schema()).collect()
     assert sorted((r.sessionId, r.mi, r.rt, r.messageCount["a"]) for r in got) == [
@@ -127,6 +157,14 @@ def test_older_layout(spark, folder):
     ]
 
 
+@pytest.mark.parametrize("limit", [10_000, 1])
+def test_missing_minute_of_the_older_layout_is_an_error(spark, folder, monkeypatch, limit):
+    older_layout(spark, folder)
+    monkeypatch.setattr(partitions, "MAX_LISTED_PATHS", limit)
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        partitions.scan_legacy_minutes(spark, folder, seconds_frame(spark, [T0, T0 + 600])).collect()
+
+
 def test_reconcile_drops_rows_a_merge_made_obsolete(spark):
     bridged = revisions(spark, [("7", 0, 100, 3, 2), ("7", 100, 0, 1, 1), ("8", 100, 0, 1, 1)])
     assert keys(reconcile(bridged)) == [("7", 0, 2), ("8", 100, 1)]
@@ -160,3 +198,52 @@ def test_two_waves_reconcile_to_the_true_sessions(spark, seed):
 def test_touched_minutes(spark):
     got = {r.minute - T0 for r in touched_minutes(revisions(spark, ROWS)).collect()}
     assert got == {0, 60}
+
+
+EXAMPLE = [("1", 0, 100, 1, 1), ("1", 60, 90, 1, 2), ("1", 200, 60, 1, 3)]
+
+
+def test_reconcile_drops_what_any_newer_row_comes_near(spark):
+    # 0..100 loses to 60..150, which loses to 200..260 in turn.
+    assert keys(reconcile(revisions(spark, EXAMPLE))) == [("1", 200, 3)]
+
+
+def anti_join(rows, gap=60):
+    return sorted(
+        a[0:2] + (a[4],) for a in rows
+        if not any(b[0] == a[0] and b[4] > a[4] and b[1] < a[1] + a[2] + gap and a[1] < b[1] + b[2] + gap for b in rows)
+    )
+
+
+@pytest.mark.parametrize("seed, batch", [(s, b) for s in range(6) for b in (1, 3, 10_000)])
+def test_reconcile_equals_an_anti_join_of_random_spans(spark, seed, batch):
+    rng = random.Random(seed)
+    spread, longest = rng.choice(((3_000, 50), (20_000, 400), (800, 300)))
+    rows = [
+        (rng.choice("abcdef"), rng.randrange(spread), rng.choice((0, rng.randrange(longest))), 1, rng.randrange(rng.choice((3, 40))))
+        for _ in range(200)
+    ]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        assert keys(reconcile(revisions(spark, rows))) == anti_join(rows)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("grain", ["minute", "day"])
+def test_reconcile_job_rewrites_touched_days_only(spark, folder, grain):
+    day = 86_400
+    rows = [
+        ("1", 100, 0, 1, 1), ("1", 50, 60, 2, 2),  # moved back within the day
+        ("2", day + 10, 0, 1, 1), ("2", day - 20, 40, 2, 2),  # moved back over midnight, its minute is left empty
+        ("3", 5 * day, 100, 1, 1), ("3", 5 * day + 30, 0, 1, 2),  # days that nobody asked for
+    ]
+    clean = revisions(spark, rows).withColumn("minute", F.expr("session_start div 60 * 60"))
+    write_clean(clean, folder, grain)
+    reconcile_days(spark, folder, seconds_frame(spark, [T0 + 50, T0 + day - 20]), grain)
+    table = scan_table(spark, folder, clean_schema(grain))
+    assert keys(table) == [("1", 50, 2), ("2", day - 20, 2), ("3", 5 * day, 1), ("3", 5 * day + 30, 2)]
+    reconcile_days(spark, folder, seconds_frame(spark, [T0 + 50 * day]), grain)
+    reconcile_days(spark, folder, seconds_frame(spark, [T0 + 5 * day]), grain)
+    spark.catalog.refreshByPath(folder)
+    assert len(keys(scan_table(spark, folder, clean_schema(grain)))) == 3

@@ -7,37 +7,111 @@ and the per-minute deduplication cannot see that the old row is obsolete.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, functions as F
 
 from tideline.model import GAP_SECONDS
 
 
+class Sweep:
+    """Which rows of a key, taken in order of start, overlap a newer one.
+
+    Of the spans open at a start it keeps those that no other outlasts and outranks. Open spans
+    overlap each other, so only those of the newest receipt time are still undecided.
+    """
+
+    def __init__(self) -> None:
+        self.key: str | None = None
+        self.open: list[tuple[int, int]] = []  # (end, rt): ends rise, receipt times fall
+        self.undecided: list[tuple[int, int, Held, int]] = []  # end, rt, batch, row
+
+    def start_key(self, key: str | None) -> None:
+        for _, _, held, _ in self.undecided:
+            held.waiting -= 1
+        self.key, self.open, self.undecided = key, [], []
+
+    def take(self, start: int, end: int, rt: int, held: "Held", row: int) -> None:
+        self.open = [x for x in self.open if x[0] > start]
+        still = []
+        for u in self.undecided:
+            if u[0] > start and u[1] >= rt:
+                still.append(u)
+                continue
+            u[2].waiting -= 1
+            if u[0] > start:
+                u[2].keep[u[3]] = False
+        self.undecided = still
+        if self.open and self.open[0][1] > rt:
+            held.keep[row] = False
+        else:
+            held.waiting += 1
+            self.undecided.append((end, rt, held, row))
+        if not any(e >= end and r >= rt for e, r in self.open):
+            self.open = sorted([x for x in self.open if x[0] > end or x[1] > rt] + [(end, rt)])
+
+
+class Held:
+    """A batch on its way: which rows stay, and how many are not decided yet."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        self.batch, self.waiting = batch, 0
+        self.keep = np.ones(batch.num_rows, bool)
+
+
+def _current(gap: int):
+    """Filter of batches sorted by key and start; holds back a batch only while a row of it is undecided."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sweep, queue = Sweep(), []
+        reach = None  # the key of the last row and the greatest end of that key so far
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held = Held(batch)
+            queue.append(held)
+            keys = batch.column("sessionId")
+            start = batch.column("session_start").to_numpy(zero_copy_only=False).astype(np.int64)
+            end = start + gap + batch.column("sessionLengthSeconds").to_numpy(zero_copy_only=False).astype(np.int64)
+            rt = batch.column("rt").to_numpy(zero_copy_only=False)
+            same = np.zeros(len(start), bool)
+            same[1:] = pc.equal(keys[1:], keys[:-1]).fill_null(False).to_numpy(zero_copy_only=False)
+            group = np.cumsum(~same)
+            low = min(int(end.min()), reach[1] if reach else int(end.min()))
+            # Running maxima of the ends, key by key: each key lies above the one before.
+            lift = group * (int(end.max()) - low + 1)
+            top = np.maximum.accumulate(end - low + lift) - lift + low
+            first = keys[0].as_py()
+            if reach and reach[0] == first:
+                top = np.where(group == group[0], np.maximum(top, reach[1]), top)
+            joins = np.zeros(len(start), bool)  # comes near an earlier row of its key
+            joins[1:] = same[1:] & (start[1:] < top[:-1])
+            joins[0] = bool(reach and reach[0] == first and start[0] < reach[1])
+            alone = ~joins & ~np.append(joins[1:], False)
+            alone[-1] = False  # what follows is not known yet
+            reach = (keys[len(start) - 1].as_py(), int(top[-1]))
+            for i in np.flatnonzero(~alone).tolist():
+                if not joins[i]:
+                    sweep.start_key(None)
+                sweep.take(int(start[i]), int(end[i]), int(rt[i]), held, i)
+            while queue and not queue[0].waiting:
+                done = queue.pop(0)
+                yield done.batch.filter(pa.array(done.keep))
+        for done in queue:
+            yield done.batch.filter(pa.array(done.keep))
+
+    return run
+
+
 def reconcile(rows: DataFrame, gap: int = GAP_SECONDS) -> DataFrame:
-    """Drop each row that overlaps, within the gap, the newest row of its chain.
+    """Drop each row that comes closer than the gap to a row of its key with a greater receipt time.
 
-    Rows of one key whose spans come closer than the gap form a chain: the revisions of one
-    session. The newest revision covers the others. Where it does not, rows clear of it stay.
-    One shuffle on the key, no join. After deduplication a key has at most one row per
-    minute, so what one task holds of a hot key is bounded by time, not by rows.
+    One shuffle on the key and a sweep over its rows in order of start: nothing is joined and no pairs
+    are formed. A task holds the spans open at one time, not the rows of a key. Rows of equal receipt
+    time do not drop each other. Rows may come from any number of runs, in any overlap.
     """
-    end = F.col("session_start") + F.col("sessionLengthSeconds") + gap
-    by_start = Window.partitionBy("sessionId").orderBy("session_start")
-    reach = F.max("_end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
-    opens = F.col("_reach").isNull() | (F.col("session_start") >= F.col("_reach"))
-    chain = F.max(F.when(opens, F.col("session_start"))).over(
-        by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    newest = F.max(F.struct("rt", "_end", "session_start")).over(
-        Window.partitionBy("sessionId", "_chain")
-    )
-    clear = (F.col("session_start") >= F.col("_newest._end")) | (
-        F.col("_newest.session_start") >= F.col("_end")
-    )
-    return (
-        rows.withColumn("_end", end)
-        .withColumn("_reach", reach)
-        .withColumn("_chain", chain)
-        .withColumn("_newest", newest)
-        .where((F.col("rt") == F.col("_newest.rt")) | clear)
-        .drop("_end", "_reach", "_chain", "_newest")
-    )
+    placed = rows.repartition("sessionId").sortWithinPartitions("sessionId", "session_start", F.desc("rt"))
+    return placed.mapInArrow(_current(gap), rows.schema)

@@ -78,28 +78,69 @@ def scan_partitions(
     return rows.join(wanted, names, "left_semi").select(rows.columns)
 
 
+def scan_days(spark: SparkSession, root: str, days: DataFrame, schema: T.StructType) -> DataFrame | None:
+    """Rows of the given days (a column `day`, its first second) as far as they exist; None if none does.
+
+    Only directories of these days are listed. The driver receives one name per day.
+    """
+    names = [r.p for r in days.select(partition_path(F.col("day"), "day").alias("p")).distinct().sort("p").collect()]
+    if not names:
+        return None
+    try:
+        # Alternatives of a pattern may be missing, paths given one by one may not.
+        return spark.read.schema(schema).option("basePath", root).parquet(f"{root}/{{{','.join(names)}}}")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+# Directory names of the older layout that lead to an hour and to a day.
+LEGACY_LEVELS = {"minute": 5, "hour": 4, "day": 3}
+
+
+def _legacy_listing(minutes: DataFrame) -> tuple[str, list[str]]:
+    """Like `_listing`, for the older layout."""
+    full = legacy_partition_path(F.col("minute"))
+    for level, names in LEGACY_LEVELS.items():
+        paths = minutes.select(F.substring_index(full, "/", names).alias("p")).distinct()
+        if level != "day":
+            paths = paths.limit(MAX_LISTED_PATHS + 1)
+        found = sorted(row.p for row in paths.collect())
+        if level == "day" or len(found) <= MAX_LISTED_PATHS:
+            return level, found
+
+
 def scan_legacy_minutes(
     spark: SparkSession, root: str, minutes: DataFrame, schema: T.StructType = SESSION
 ) -> DataFrame:
     """Event minutes of a dataset in the older layout, whose paths use `m=` twice.
 
-    Spark cannot discover such partitions from the root, so the leaf directories are read
-    as plain files and `minute` and `rt` come from each file's path.
+    Spark cannot discover such partitions from the root, so directories are read as plain files and
+    `minute` and `rt` come from each file's path. Up to MAX_LISTED_PATHS directories are named one by
+    one; beyond that whole hours or days are listed and files of other minutes are left out by a
+    semi-join on the minute of their path. A minute that does not exist is an error either way.
     """
     stored = [f for f in schema.fields if f.name != "session_start"]
-    found = minutes.select(legacy_partition_path(F.col("minute")).alias("p")).distinct().sort("p")
-    paths = [f"{root}/{row.p}" for row in found.collect()]
-    files = (
-        spark.read.schema(T.StructType(stored))
-        .option("recursiveFileLookup", "true")
-        .parquet(*paths)
-    )
+    level, paths = _legacy_listing(minutes)
+    reader = spark.read.schema(T.StructType(stored)).option("recursiveFileLookup", "true")
     path = F.col("_metadata.file_path")
-    return files.select(
+    if not paths:
+        empty = T.StructType([*stored, T.StructField("minute", T.LongType()), T.StructField("rt", T.LongType())])
+        return spark.createDataFrame([], empty)
+    rows = reader.parquet(*[f"{root}/{p}" for p in paths]).select(
         *[f.name for f in stored],
         try_path_to_second(path).alias("minute"),
         receipt_of_path(path).alias("rt"),
     )
+    if level == "minute":
+        return rows
+    wanted = minutes.select("minute").distinct()
+    absent = wanted.join(rows.select("minute").distinct(), "minute", "left_anti").select(
+        legacy_partition_path(F.col("minute")).alias("p")).first()
+    if absent:
+        raise AnalysisException(f"[PATH_NOT_FOUND] Path does not exist: {root}/{absent['p']}")
+    return rows.join(wanted, "minute", "left_semi").select(rows.columns)
 
 
 def register_view(rows: DataFrame, name: str = "wanted_sessions") -> DataFrame:
