@@ -3,22 +3,33 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from helpers import T0, as_set, brute_force, message_frame
 from pyspark.sql import functions as F
 
-from tideline.model import SESSION, clean_schema, raw_schema
+from tideline.model import LATE_MESSAGE, SESSION, clean_schema, raw_schema
 from tideline.operators.dedupe import latest_revision
-from tideline.operators.observe import MESSAGES, REVISIONS, observed
+from tideline.operators.observe import (
+    MESSAGES,
+    REVISIONS,
+    MetricsTable,
+    observed,
+    read_metrics,
+    record_metrics,
+)
 from tideline.operators.reconcile import reconcile
 from tideline.plans import pipeline
 from tideline.plans.notice_job import run_dedupe_on_notice
 from tideline.plans.pipeline import UNTIL_DONE, run_pipeline, run_quarantine
-from tideline.plans.replay import replay_final
+from tideline.plans.replay import replay_final, replay_rows
 from tideline.sources.messages import read_messages, stream_messages
 from tideline.sources.notices import read_notices
 from tideline.sources.partitions import scan_table
+from tideline.streaming.minutes import minute_totals
+from tideline.streaming.native import native_final_sessions
+from tideline.streaming.revisions import final_sessions
 
 DAY = 86_400
 
@@ -234,3 +245,115 @@ def test_json_messages_without_arrival(spark, folder):
     query.awaitTermination()
     # The files are written now, long after the events, so the session is closed.
     assert as_set(scan_table(spark, f"{folder}/raw", raw_schema())) == {("1", 0, 45, (("browse", 2), ("click", 1)))}
+
+
+def test_late_messages_go_to_a_table_of_their_own(spark, folder):
+    late = f"{folder}/late"
+    job = Job(spark, folder, late_root=late, lateness=3_600)
+    job.step(*ON_TIME, tick(105))
+    job.step(tick(50 + 60 + 3_600))
+    # Two of one second, one of another; the third is just in time.
+    rows = [("1", n, t, 9_000) for n, t in (("x", 50), ("x", 50), ("y", 49), ("z", 51))]
+    assert [r[0] for r in job.step(*rows) if r[1] == "1"] == ["late"]
+    rows = spark.read.schema(LATE_MESSAGE).parquet(late).collect()
+    watermark = (T0 + 50 + 60 + 3_600) * 1_000
+    assert sorted((r.session_id, r.message_name, r.n, r.event_sec - T0, r.watermark_ms) for r in rows) == [
+        ("1", "x", 2, 50, watermark), ("1", "y", 1, 49, watermark),
+    ]
+
+
+def test_panes_gather_changes_across_restarts(spark, folder):
+    job = Job(spark, folder, pane_delay=60)
+    assert [r[0] for r in job.step(*ON_TIME, tick(105))] == ["on_time"]
+    assert job.step(("1", "a", 40, 105)) == [] and job.step(("1", "b", 41, 164)) == []
+    counts = (("a", 1), ("b", 1), ("browse", 2), ("click", 1))
+    assert ("late", "1", 0, 45, counts) in job.step(tick(165))
+    assert not [r for r in job.step(("1", "c", 42, 170)) if r[1] == "1"]
+    assert [r for r in job.step(tick(300)) if r[1] == "1"] == [("late", "1", 0, 45, (("a", 1), ("b", 1), ("browse", 2), ("c", 1), ("click", 1)))]
+
+
+def test_many_open_sessions_of_a_key(spark, folder):
+    job = Job(spark, folder, grain="day")
+    seconds = list(range(0, 40_000, 200))
+    job.land([("1", "a", t, t) for t in seconds])
+    job.start().awaitTermination()
+    job.land([("1", "b", t + 30, 40_000) for t in seconds[::3]])
+    job.start().awaitTermination()
+    raw = scan_table(spark, job.raw, raw_schema("day")).withColumn("minute", F.expr("session_start div 60"))
+    got = as_set(latest_revision(raw))
+    expected = brute_force([("1", "a", t) for t in seconds] + [("1", "b", t + 30) for t in seconds[::3]], 60)
+    assert got == expected
+
+
+def test_metrics_are_kept_by_batch(spark, folder):
+    root = f"{folder}/metrics"
+    job = Job(spark, folder)
+    listener = MetricsTable(spark, f"{folder}/heard")
+    spark.streams.addListener(listener)
+    job.step(*ON_TIME, tick(105), ("1", "no time", None, 60))
+    record_metrics(job.query, root)
+    # The same again, as after a restart, changes nothing.
+    record_metrics(job.query, root)
+    job.step(tick(5_000), ("1", "late", 10, 5_000))
+    record_metrics(job.query, root)
+    rows = read_metrics(spark, root)
+    assert rows.select("query").distinct().collect() == [("session-revisions",)]
+    assert rows.groupBy("batch_id", "observed", "metric").count().where("count > 1").count() == 0
+    totals = {(r.observed, r.metric): r.total for r in rows.groupBy("observed", "metric").agg(F.sum("value").alias("total")).collect()}
+    assert totals["messages", "rows"] == 7 and totals["messages", "rejected"] == 1
+    assert totals["revisions", "on_time"] == 2 and totals["revisions", "late"] == 1
+    # The listener hears of the batches a moment later, one after the other.
+    for _ in range(100):
+        heard = read_metrics(spark, f"{folder}/heard")
+        if heard.count() == rows.count():
+            break
+        time.sleep(0.2)
+        spark.catalog.refreshByPath(f"{folder}/heard")
+    spark.streams.removeListener(listener)
+    assert sorted(heard.collect(), key=str) == sorted(rows.collect(), key=str)
+
+
+def minutes_of(rows):
+    totals = {}
+    for _, start, length, _ in rows:
+        n, seconds = totals.get(start // 60 * 60, (0, 0))
+        totals[start // 60 * 60] = (n + 1, seconds + length)
+    return totals
+
+
+def random_waves(spark, seed):
+    """Messages in four waves by arrival, the last far behind the others, and the true sessions."""
+    rng = random.Random(seed)
+    rows = [(rng.choice("abcde"), rng.choice("xy"), second, second + rng.choice((0, 5, 300))) for second in rng.sample(range(6_000), 250)]
+    rows.sort(key=lambda r: r[3])
+    frames = [
+        message_frame(spark, part).withColumn("wave", F.lit(i))
+        for i, part in enumerate((rows[:80], rows[80:160], rows[160:], [tick(3 * DAY)]), 1)
+    ]
+    messages = frames[0]
+    for frame in frames[1:]:
+        messages = messages.unionByName(frame)
+    return messages, brute_force([r[:3] for r in rows], 60)
+
+
+def test_minutes_of_the_stream_equal_the_batch(spark):
+    messages, sessions = random_waves(spark, 3)
+    restated = replay_rows(
+        spark, messages, 4, lambda m: minute_totals(final_sessions(m, lateness=3_600, output_mode="Append")), "append")
+    last = {}
+    for row in restated.orderBy("batch_id").collect():
+        last[row.minute_second - T0] = (row.sessions, row.total_seconds)
+    assert last == minutes_of(sessions)
+
+
+def test_native_windows_give_the_final_sessions(spark):
+    messages, sessions = random_waves(spark, 5)
+    rows = replay_rows(spark, messages, 4, lambda m: native_final_sessions(m, lateness=3_600), "append")
+    assert rows.columns == [*SESSION.fieldNames(), "batch_id"] and as_set(rows) == sessions
+
+
+def test_native_windows_run_without_python(spark, folder):
+    message_frame(spark, ON_TIME).write.parquet(f"{folder}/in")
+    plan = native_final_sessions(stream_messages(spark, f"{folder}/in"))._jdf.queryExecution().analyzed().toString()
+    assert "SessionWindow" in plan or "session_window" in plan
+    assert not any(word in plan for word in ("Python", "Arrow", "Pandas"))

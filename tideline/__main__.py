@@ -12,7 +12,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from tideline.model import ALLOWED_LATENESS_SECONDS, GAP_SECONDS, GRAINS, MAX_SKEW_SECONDS
-from tideline.operators.observe import ProgressLog
+from tideline.operators.observe import MetricsTable, ProgressLog
 from tideline.plans.dedupe_job import dedupe
 from tideline.plans.notice_job import run_dedupe_on_notice
 from tideline.plans.pipeline import UNTIL_DONE, run_pipeline, run_quarantine
@@ -41,6 +41,11 @@ def parser() -> argparse.ArgumentParser:
     sessions.add_argument("--max-skew", type=int, default=MAX_SKEW_SECONDS)
     sessions.add_argument("--clock", choices=("arrival", "event"), default="arrival")
     sessions.add_argument("--early", action="store_true", help="also emit open sessions")
+    sessions.add_argument(
+        "--pane-delay", type=int, default=0,
+        help="seconds that early and late panes gather changes; without it, each micro-batch tells of its changes")
+    sessions.add_argument("--late-messages", help="folder for messages too late for their session")
+    sessions.add_argument("--metrics", help="folder for the figures of each micro-batch")
 
     batch = jobs.add_parser("dedupe")
     batch.add_argument("--event-time-second", type=int, action="append", required=True)
@@ -70,8 +75,8 @@ def _run_sessions(spark: SparkSession, args: argparse.Namespace) -> None:
     trigger = UNTIL_DONE if args.until_done else None
     queries = [run_pipeline(
         messages, args.output_destination, args.output_notices, f"{args.checkpoint}/sessions",
-        trigger, args.grain, gap=args.gap, lateness=args.allowed_lateness, max_skew=args.max_skew,
-        clock=args.clock, early=args.early,
+        trigger, args.grain, args.late_messages, gap=args.gap, lateness=args.allowed_lateness, max_skew=args.max_skew,
+        clock=args.clock, early=args.early, pane_delay=args.pane_delay,
     )]
     if args.quarantine:
         queries.append(run_quarantine(
@@ -86,6 +91,8 @@ def main(argv: list[str] | None = None) -> SparkSession:
     spark = build_session(f"tideline-{args.job}")
     spark.streams.addListener(ProgressLog())
     if args.job == "sessions":
+        if args.metrics:
+            spark.streams.addListener(MetricsTable(spark, args.metrics))
         _run_sessions(spark, args)
     elif args.job == "dedupe":
         dedupe(spark, args.input_root, args.event_time_second, args.output_root, args.grain)

@@ -13,6 +13,8 @@ MAX_SKEW_SECONDS = 86_400
 # An event time may run this far ahead of its arrival, and an arrival this far ahead of the wall clock.
 MAX_AHEAD_SECONDS = 300
 MINUTE_SECONDS = 60
+# From the first change of a session to the pane that tells of it.
+PANE_DELAY_SECONDS = 60
 
 # Columns every message has after normalisation; `arrival` drives the watermark.
 MESSAGE = T.StructType([
@@ -33,8 +35,31 @@ SESSION = T.StructType([
     T.StructField("session_start", T.LongType()),
 ])
 
-# One restatement of a session as it leaves the stream.
-REVISION = T.StructType(SESSION.fields + [T.StructField("pane", T.StringType())])
+# One restatement of a session as it leaves the stream; a dropped message has its second and the
+# watermark that refused it.
+REVISION = T.StructType(SESSION.fields + [
+    T.StructField("pane", T.StringType()),
+    T.StructField("late_sec", T.LongType()),
+    T.StructField("watermark_ms", T.LongType()),
+])
+
+# Messages that came too late for their session, counted; `watermark_ms` refused them.
+LATE_MESSAGE = T.StructType([
+    T.StructField("session_id", T.StringType()),
+    T.StructField("message_name", T.StringType()),
+    T.StructField("n", T.LongType()),
+    T.StructField("event_sec", T.LongType()),
+    T.StructField("watermark_ms", T.LongType()),
+])
+
+# What a micro-batch was observed to do, one row per figure.
+BATCH_METRIC = T.StructType([
+    T.StructField("observed", T.StringType()),
+    T.StructField("metric", T.StringType()),
+    T.StructField("value", T.LongType()),
+    T.StructField("query", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+])
 
 # Directory levels of the raw and the clean dataset, coarse to fine. The minute level
 # needs a name of its own: Spark refuses one partition column name used twice.

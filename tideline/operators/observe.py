@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from tideline.functions.codec import total_messages
+from tideline.model import BATCH_METRIC
 from tideline.operators.guards import rejection
 
 MESSAGES = "messages"
@@ -47,6 +48,53 @@ def observed(query, name: str) -> list[dict]:
     return [r.asDict() for r in rows if r is not None]
 
 
+def batch_metrics(progress) -> list[tuple[str, str, int]]:
+    """(observed, metric, value) of one micro-batch's progress."""
+    return [
+        (name, metric, value)
+        for name, row in progress.observedMetrics.items() for metric, value in row.asDict().items()
+    ]
+
+
+def write_metrics(spark: SparkSession, progress, root: str) -> None:
+    """Keep the figures of a micro-batch in its own directory; the same batch run again replaces it."""
+    rows = batch_metrics(progress)
+    if rows:
+        schema = "observed string, metric string, value bigint"
+        path = f"{root}/query={progress.name}/batch_id={progress.batchId}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def record_metrics(query: StreamingQuery, root: str) -> None:
+    """Keep the figures of the micro-batches a query still remembers, for one that has ended."""
+    for progress in query.recentProgress:
+        write_metrics(SparkSession.active(), progress, root)
+
+
+def read_metrics(spark: SparkSession, root: str) -> DataFrame:
+    """All figures kept, `model.BATCH_METRIC`."""
+    return spark.read.schema(BATCH_METRIC).parquet(root)
+
+
+class MetricsTable(StreamingQueryListener):
+    """Keeps the figures of every micro-batch as rows; add it with `spark.streams.addListener`."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        write_metrics(self.spark, event.progress, self.root)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 class ProgressLog(StreamingQueryListener):
     """Logs the metrics above once per micro-batch; add it with `spark.streams.addListener`."""
 

@@ -43,6 +43,35 @@ ALL_SESSIONS = f"with {PLAIN}, {sessions('ev', WIDE)} select {rows()} from s"
 DEDUPED = f"with {REVISIONS} select {rows(', rt')} from ded"
 MINUTES = f"with {PLAIN}, {sessions('ev', WIDE)} select distinct start // 60 * 60 as m from s"
 
+FINALS = f"""
+        with {PLAIN}, {sessions('ev', WIDE)}
+        select {rows()} from s
+        where last + 2 * {WIDE} + 86400 <= (select max(t) from ev)"""
+
+
+def gathered(changes: str, delay: int) -> str:
+    """CTE `g (k, opened)`: per key, the first change and then each first one that `delay` seconds had passed for."""
+    return f"""
+    g as (select k, min(t) as opened from {changes} group by k
+          union all
+          select g.k, (select min(c.t) from {changes} c where c.k = g.k and c.t >= g.opened + {delay}) as following
+          from g where following is not null)"""
+
+
+def panes(source: str, condition: str, extra: str = "") -> str:
+    """CTE `p`: what a session of a whole key held at the time of each of its panes `g`."""
+    return f"""
+    h as (select g.k, g.opened, e.name, count(*) as n, min(e.t) as lo, max(e.t) as hi
+          from g join {source} e on e.k = g.k and ({condition}) group by g.k, g.opened, e.name),
+    p as (select k, opened, min(lo) as start, max(hi) as last, {COUNTS} as counts from h group by k, opened){extra}"""
+
+
+# Thirds of the arrival range, as the replays cut it; `d` holds arrivals.
+THIRDS = """
+    r as (select min(arrival) as low, (max(arrival) - min(arrival)) // 3 + 1 as third from d),
+    w as (select d.*, (arrival - low) // third + 1 as wave from d, r)"""
+
+
 ORACLES: dict[str, str] = {
     "session_metrics": ALL_SESSIONS,
     "session_metrics_60s": f"with {PLAIN}, {sessions('ev', 60)} select {rows()} from s",
@@ -100,8 +129,56 @@ ORACLES: dict[str, str] = {
         select {rows(f", case when last + {WIDE} <= w then 'late' else 'on_time' end as pane")}
         from gs, wm where wave = 2 or last + {WIDE} > w""",
     "stream_reconciled": ALL_SESSIONS,
-    "stream_final_sessions": f"""
-        with {PLAIN}, {sessions('ev', WIDE)}
-        select {rows()} from s
-        where last + 2 * {WIDE} + 86400 <= (select max(t) from ev)""",
+    "stream_final_sessions": FINALS,
+    "native_final_sessions": FINALS,
+    "reconciled_foreign": f"""
+        with o as (
+            select cast(o_custkey as varchar) as k, epoch_us(o_orderdate) // 1000000 as start,
+                   o_orderkey * 7919 % 90 * 86400 as length, cast(round(o_totalprice * 100) as bigint) % 1000 as rt,
+                   '{{"' || o_orderpriority || '":1}}' as counts, o_orderkey as id
+            from orders)
+        select k as "sessionId", start as session_start, cast(length as integer) as "sessionLengthSeconds",
+               counts as "messageCount", rt
+        from o where not exists (
+            select 1 from o b where b.k = o.k and b.rt > o.rt
+            and b.start < o.start + o.length + 30 * 86400 and o.start < b.start + b.length + 30 * 86400)""",
+    "reconcile_job": ALL_SESSIONS,
+    "stream_minute_totals": f"""
+        with f as ({FINALS})
+        select session_start // 60 * 60 as minute_second, count(*) as sessions,
+               cast(sum("sessionLengthSeconds") as bigint) as total_seconds
+        from f group by 1""",
+    "stream_early_panes": f"""
+        with recursive {PLAIN}, {gathered('ev', 86_400)}, {panes('ev', 'e.t < g.opened + 86400')}
+        select {rows(", 'early' as pane")} from p where opened + 86400 <= (select max(t) from ev)""",
+    # Sessions close after the second wave; a later wave's time of arrival is its time plus 120 days.
+    "stream_late_panes": f"""
+        with recursive ev as (
+            select *, case when value > 100 then 3 when value > 90 then 2 else 1 end as wave from ({EVENTS})),
+        late as (select k, t from ev where wave = 3), {gathered('late', 86_400)},
+        {panes('ev', 'e.wave < 3 or e.t < g.opened + 86400')},
+        first as (select k, name, count(*) as n, min(t) as lo, max(t) as hi from ev where wave < 3 group by k, name),
+        closed as (select k, min(lo) as start, max(hi) as last, {COUNTS} as counts from first group by k)
+        select {rows(", 'late' as pane")} from p where opened + 86400 <= (select max(t) from late)
+        union all
+        select {rows(", 'on_time' as pane")} from closed""",
+    "stream_late_drops": f"""
+        with d as (select *, t + cast(floor(value * 600) as bigint) as arrival from ({EVENTS})), {THIRDS},
+        tops as (select wave, max(arrival) as top from w group by wave),
+        m as (select w.*, (select max(top) from tops where tops.wave < w.wave) as watermark from w)
+        select k as session_id, name as message_name, count(*) as n, t as event_sec, watermark * 1000 as watermark_ms
+        from m where t + 3600 + 3600 <= watermark group by k, name, t, watermark""",
+    "stream_metrics": f"""
+        with {WAVES}, {sessions('w1', WIDE, 'f')}, {sessions('ev', WIDE, 'g')},
+        wm as (select max(t) as w from w1),
+        panes as (
+            select 'on_time' as pane from fs, wm where last + {WIDE} <= w
+            union all
+            select case when last + {WIDE} <= w then 'late' else 'on_time' end from gs, wm where wave = 2 or last + {WIDE} > w)
+        select 'messages' as observed, 'rows' as metric, count(*) as value from ev
+        union all select 'messages', 'rejected', 0
+        union all select 'messages', 'first_event_sec', min(t) from ev
+        union all select 'messages', 'last_event_sec', max(t) from ev
+        union all select 'revisions', pane, count(*) from panes group by pane
+        union all select 'revisions', 'dropped_messages', 0""",
 }

@@ -9,20 +9,26 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tideline.functions.codec import counts_json, envelope, notice_json
 from tideline.functions.event_time import epoch_seconds_ntz, instant, minute_of
 from tideline.functions.partition_path import legacy_partition_path, partition_path, path_to_second, receipt_path
-from tideline.model import clean_schema, raw_schema
+from tideline.model import LATE_MESSAGE, clean_schema, raw_schema
 from tideline.operators.dedupe import latest_revision
 from tideline.operators.guards import over_late, quarantined
+from tideline.operators.observe import read_metrics
 from tideline.operators.reconcile import reconcile
 from tideline.operators.sessions import session_message_counts, session_metrics, sessions_per_minute
-from tideline.plans.dedupe_job import dedupe
-from tideline.plans.replay import replay_final, replay_revisions, replay_stream
+from tideline.plans.dedupe_job import dedupe, deduplicated
+from tideline.plans.reconcile_job import reconcile_days
+from tideline.plans.replay import replay_final, replay_revisions, replay_rows, replay_stream
 from tideline.session import shared_dir
+from tideline.sinks.clean import write_clean
 from tideline.sinks.notices import notice_lines
-from tideline.sinks.raw import touched_minutes, write_revisions
+from tideline.sinks.raw import clustered, touched_minutes, write_revisions
 from tideline.sources.messages import normalise
 from tideline.sources.notices import decode_notices
 from tideline.sources.partitions import register_view, scan_table
 from tideline.sources.protobuf import decode_messages, encode_messages
+from tideline.streaming.minutes import MINUTE_TOTALS, minute_totals
+from tideline.streaming.native import native_final_sessions
+from tideline.streaming.revisions import final_sessions, with_receipt_time
 
 # Most users of the test tables act hours apart; this gap gives sessions of several messages.
 WIDE_GAP = 21_600
@@ -155,6 +161,33 @@ def q_reconciled_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(reconcile(_deduplicated(spark, sf_dir), WIDE_GAP))
 
 
+def q_reconciled_foreign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that no run of ours wrote: `orders` as spans of their customer, ranked by a mix of key and price.
+
+    Spans overlap in every way: newer rows that do not cover older ones, chains of them, equal ranks.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    cents = F.round(F.col("o_totalprice") * 100).cast("bigint")
+    spans = orders.select(
+        F.col("o_custkey").cast("string").alias("sessionId"),
+        (F.col("o_orderkey") * 7_919 % 90 * DAYS).cast("int").alias("sessionLengthSeconds"),
+        F.create_map("o_orderpriority", F.lit(1).cast("bigint")).alias("messageCount"),
+        epoch_seconds_ntz(F.col("o_orderdate")).alias("session_start"),
+        (cents % 1_000).alias("rt"),
+    )
+    return as_text(reconcile(spans, ORDER_GAP), "rt")
+
+
+def q_reconcile_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean dataset of two waves, rewritten where the second wave touched it."""
+    root = shared_dir(spark, "reconcile-job")
+    revisions = _revisions(spark, sf_dir).withColumn("minute", minute_of(F.col("session_start"))).persist()
+    write_clean(clustered(deduplicated(revisions), "day"), root, "day")
+    reconcile_days(spark, root, touched_minutes(revisions.where("rt = 2")), "day", WIDE_GAP, span_days=3)
+    revisions.unpersist()
+    return as_text(scan_table(spark, root, clean_schema("day")))
+
+
 def q_availability_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return notice_lines(touched_minutes(session_metrics(messages(spark, sf_dir), WIDE_GAP)))
 
@@ -233,6 +266,70 @@ def q_stream_final_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_text(replay_final(spark, rows, 3, gap=WIDE_GAP, clock="event"))
 
 
+def q_native_final_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows as `stream_final_sessions`, by Spark's session windows alone."""
+    rows = arrival_thirds(messages(spark, sf_dir, delay_per_value=60))
+    finals = replay_rows(spark, rows, 3, lambda m: native_final_sessions(m, WIDE_GAP), "append")
+    return as_text(finals)
+
+
+def q_stream_minute_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions per minute of their start, counted in the stream by a second state operator."""
+    rows = arrival_thirds(messages(spark, sf_dir, delay_per_value=60))
+
+    def totals(arrived: DataFrame) -> DataFrame:
+        finals = final_sessions(arrived, gap=WIDE_GAP, clock="event", output_mode="Append")
+        return with_receipt_time(minute_totals(finals))
+
+    restated = replay_rows(spark, rows, 3, totals, "append")
+    latest = Window.partitionBy("minute_second").orderBy(F.desc("batch_id"))
+    return restated.withColumn("place", F.row_number().over(latest)).where("place = 1").select(*MINUTE_TOTALS.fieldNames())
+
+
+def q_stream_early_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Early panes that gather a day of changes each; the gap makes one session of each user."""
+    raw, _ = replay_stream(
+        spark, arrival_thirds(messages(spark, sf_dir)), 3, gap=100 * DAYS, early=True, pane_delay=DAYS
+    )
+    return as_text(scan_table(spark, raw, raw_schema("day")), "pane")
+
+
+def three_waves(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as messages of three waves by value; each wave comes in long after the one before."""
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    wave = F.when(F.col("value") > LATE_VALUE, 3).when(F.col("value") > LATE_VALUE - 10, 2).otherwise(1)
+    arrival = instant(epoch_seconds_ntz(F.col("ts")) + (wave - 1) * 60 * DAYS)
+    return normalise(events.withColumn("wave", wave), "user_id", "event_type", "ts", "props", arrival, keep=["wave"])
+
+
+def q_stream_late_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """On-time panes after the second wave, then late panes that gather a day of changes each."""
+    raw, _ = replay_stream(
+        spark, three_waves(spark, sf_dir), 3, gap=40 * DAYS, lateness=200 * DAYS, max_skew=200 * DAYS, pane_delay=DAYS
+    )
+    return as_text(scan_table(spark, raw, raw_schema("day")), "pane")
+
+
+def q_stream_late_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stream refused as too late, from the query that writes the sessions."""
+    late = f"{shared_dir(spark, 'late-drops')}/late"
+    rows = arrival_thirds(messages(spark, sf_dir, delay_per_value=600))
+    replay_stream(spark, rows, 3, gap=3_600, lateness=3_600, max_skew=60 * DAYS, late_root=late)
+    return spark.read.schema(LATE_MESSAGE).parquet(late).select(*LATE_MESSAGE.fieldNames())
+
+
+def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the micro-batches of the session job were observed to do, summed up."""
+    root = f"{shared_dir(spark, 'metrics')}/metrics"
+    replay_stream(
+        spark, two_waves(spark, sf_dir), 2, metrics_root=root, gap=WIDE_GAP, lateness=60 * DAYS, max_skew=31 * DAYS + 60
+    )
+    totals = F.when(F.col("metric").startswith("first"), F.min("value")).when(
+        F.col("metric").startswith("last"), F.max("value")).otherwise(F.sum("value"))
+    figures = read_metrics(spark, root).where("observed = 'messages' or metric in ('on_time', 'late', 'dropped_messages')")
+    return figures.groupBy("observed", "metric").agg(totals.alias("value"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_metrics": q_session_metrics,
     "session_metrics_60s": q_session_metrics_60s,
@@ -246,6 +343,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_job": q_dedupe_job,
     "dedupe_job_minute": q_dedupe_job_minute,
     "reconciled_sessions": q_reconciled_sessions,
+    "reconciled_foreign": q_reconciled_foreign,
+    "reconcile_job": q_reconcile_job,
     "availability_notices": q_availability_notices,
     "notice_roundtrip": q_notice_roundtrip,
     "late_quarantine": q_late_quarantine,
@@ -255,4 +354,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_revisions": q_stream_revisions,
     "stream_reconciled": q_stream_reconciled,
     "stream_final_sessions": q_stream_final_sessions,
+    "native_final_sessions": q_native_final_sessions,
+    "stream_minute_totals": q_stream_minute_totals,
+    "stream_early_panes": q_stream_early_panes,
+    "stream_late_panes": q_stream_late_panes,
+    "stream_late_drops": q_stream_late_drops,
+    "stream_metrics": q_stream_metrics,
 }

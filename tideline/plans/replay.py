@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tideline.model import GAP_SECONDS, MESSAGE, SESSION
+from tideline.operators.observe import record_metrics
 from tideline.operators.sessions import session_metrics
 from tideline.plans.notice_job import run_dedupe_on_notice
 from tideline.plans.pipeline import UNTIL_DONE, run_pipeline
@@ -43,6 +46,8 @@ def replay_stream(
     waves: int,
     grain: str = "day",
     dedupe_each_wave: bool = False,
+    late_root: str | None = None,
+    metrics_root: str | None = None,
     **session_options,
 ) -> tuple[str, str]:
     """Run the whole pipeline over messages that land wave by wave (column `wave`, from 1).
@@ -55,10 +60,13 @@ def replay_stream(
     with settings(spark, _streaming_conf(spark)):
         for wave in range(1, waves + 1):
             _land(messages, wave, landing)
-            run_pipeline(
+            query = run_pipeline(
                 stream_messages(spark, landing), raw, notices, f"{base}/checkpoint-sessions",
-                UNTIL_DONE, grain, **session_options,
-            ).awaitTermination()
+                UNTIL_DONE, grain, late_root, **session_options,
+            )
+            query.awaitTermination()
+            if metrics_root:
+                record_metrics(query, metrics_root)
             if dedupe_each_wave or wave == waves:
                 run_dedupe_on_notice(
                     spark, notices, raw, clean, f"{base}/checkpoint-dedupe", UNTIL_DONE, grain
@@ -66,12 +74,13 @@ def replay_stream(
     return raw, clean
 
 
-def replay_final(
-    spark: SparkSession, messages: DataFrame, waves: int, **session_options
+def replay_rows(
+    spark: SparkSession, messages: DataFrame, waves: int, build: Callable[[DataFrame], DataFrame], output_mode: str = "update"
 ) -> DataFrame:
-    """Final sessions of messages that land wave by wave, as a table."""
-    base = shared_dir(spark, "replay-final")
-    landing, out = f"{base}/landing", f"{base}/sessions"
+    """What a streaming plan emits over messages that land wave by wave, with the `batch_id` of each row."""
+    base = shared_dir(spark, "replay-rows")
+    landing, out = f"{base}/landing", f"{base}/rows"
+    schemas = []
 
     def append(batch: DataFrame, batch_id: int) -> None:
         # One directory per micro-batch: a replay replaces it.
@@ -80,13 +89,22 @@ def replay_final(
     with settings(spark, _streaming_conf(spark)):
         for wave in range(1, waves + 1):
             _land(messages, wave, landing)
+            rows = build(stream_messages(spark, landing))
+            schemas.append(rows.schema)
             (
-                with_receipt_time(final_sessions(stream_messages(spark, landing), **session_options))
-                .writeStream.outputMode("update")
+                rows.writeStream.outputMode(output_mode)
                 .option("checkpointLocation", f"{base}/checkpoint")
                 .trigger(**UNTIL_DONE)
                 .foreachBatch(append)
                 .start()
                 .awaitTermination()
             )
-    return spark.read.schema(SESSION).parquet(out).select(*SESSION.fieldNames())
+    return spark.read.schema(T.StructType([*schemas[-1].fields, T.StructField("batch_id", T.LongType())])).parquet(out)
+
+
+def replay_final(
+    spark: SparkSession, messages: DataFrame, waves: int, **session_options
+) -> DataFrame:
+    """Final sessions of messages that land wave by wave, as a table."""
+    rows = replay_rows(spark, messages, waves, lambda m: with_receipt_time(final_sessions(m, **session_options)))
+    return rows.select(*SESSION.fieldNames())

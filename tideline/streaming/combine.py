@@ -17,6 +17,8 @@ COMBINED = "session_id string, message_name string, event_sec bigint, n bigint"
 ARROW = pa.schema([
     ("session_id", pa.string()), ("message_name", pa.string()), ("event_sec", pa.int64()), ("n", pa.int64()),
 ])
+# With `first_ms`, when the first message of a row came in, for panes that gather changes.
+TIMED = pa.field("first_ms", pa.int64())
 # What a task buffers before it merges; bounds memory, not results.
 BUFFERED_ROWS = 500_000
 BUFFERED_BYTES = 256 << 20
@@ -24,9 +26,12 @@ BUFFERED_BYTES = 256 << 20
 
 def _merge(tables: list[pa.Table]) -> pa.Table:
     # Batches from Spark mark columns as not nullable, merged ones do not: bring them together.
-    rows = pa.concat_tables([t.select([*KEYS, "n"]).cast(ARROW) for t in tables])
-    merged = rows.group_by(KEYS, use_threads=False).aggregate([("n", "sum")])
-    return merged.rename_columns({"n_sum": "n"}).select([*KEYS, "n"]).cast(ARROW)
+    timed = TIMED.name in tables[0].column_names
+    schema = ARROW.append(TIMED) if timed else ARROW
+    rows = pa.concat_tables([t.select(schema.names).cast(schema) for t in tables])
+    merged = rows.group_by(KEYS, use_threads=False).aggregate([("n", "sum"), *([(TIMED.name, "min")] if timed else [])])
+    merged = merged.rename_columns([c.removesuffix("_sum").removesuffix("_min") for c in merged.column_names])
+    return merged.select(schema.names).cast(schema)
 
 
 def _full(table: pa.Table | pa.RecordBatch, rows: int, size: int) -> bool:
@@ -52,8 +57,8 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _merge(held).combine_chunks().to_batches()
 
 
-def combine_messages(messages: DataFrame) -> DataFrame:
-    """Messages -> `session_id, message_name, event_sec, n`.
+def combine_messages(messages: DataFrame, clock: str | None = None) -> DataFrame:
+    """Messages -> `session_id, message_name, event_sec, n`, and `first_ms` of a timestamp column `clock`.
 
     Merged once per task and once more after a shuffle on (key, second). This spreads a hot
     key over all tasks, so the one state task it ends up in gets about one row per second
@@ -67,6 +72,8 @@ def combine_messages(messages: DataFrame) -> DataFrame:
         F.coalesce("message_name", F.lit("")).alias("message_name"),
         "event_sec",
         F.lit(1).cast("bigint").alias("n"),
+        *([F.unix_millis(clock).alias(TIMED.name)] if clock else []),
     )
-    per_task = narrow.mapInArrow(_combine, COMBINED)
-    return per_task.repartition("session_id", "event_sec").mapInArrow(_combine, COMBINED)
+    combined = f"{COMBINED}, {TIMED.name} bigint" if clock else COMBINED
+    per_task = narrow.mapInArrow(_combine, combined)
+    return per_task.repartition("session_id", "event_sec").mapInArrow(_combine, combined)

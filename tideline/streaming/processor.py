@@ -1,21 +1,21 @@
 """State operator: merging sessions per key, with revisions for late data.
 
-State per key is the list of its open sessions as (start, last, fired, counts): counts per
-name, never messages. A key holds at most one session per gap within the retention time.
-The list is kept as JSON text, which crosses to the state store as one value; a nested row
-would be converted field by field on the way.
+Each open session of a key is a map entry of its own under its start: counts per name, never
+messages. An ordered index (`streaming.index`) finds the sessions that a message can touch, so a
+batch reads and writes only these, however many sessions the key has open.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-STATE = "due bigint, sessions string"
+from tideline.streaming.index import PAGE, PAGE_KEY, ROOT, SessionIndex
+
+SESSION_KEY, SESSION = "start bigint", "fired boolean, pending bigint, counts map<string,bigint>"
 
 
 @dataclass
@@ -24,16 +24,27 @@ class Session:
     last: int
     fired: bool = False
     counts: dict[str, int] = field(default_factory=dict)
-    touched: bool = False
+    # When a gathered pane is due, and the earliest arrival of a change not yet accounted for.
+    pending: int | None = None
+    changed: int | None = None
+    # Starts under which parts of it lie in state.
+    stored: set[int] = field(default_factory=set)
 
     def absorb(self, other: "Session") -> None:
         self.last = max(self.last, other.last)
-        self.fired = False
-        self.touched = True
+        self.start = min(self.start, other.start)
+        self.fired = self.fired or other.fired
+        self.pending = earliest(self.pending, other.pending)
+        self.changed = earliest(self.changed, other.changed)
+        self.stored |= other.stored
         for name, n in other.counts.items():
             self.counts[name] = self.counts.get(name, 0) + n
 
 
+def earliest(*times: int | None) -> int | None:
+    return min((t for t in times if t is not None), default=None)
+
+
 def merge_sessions(sessions: Iterable[Session], gap: int) -> list[Session]:
     """Join sessions that come closer than the gap; spans that only meet stay apart."""
     merged: list[Session] = []
@@ -51,99 +62,147 @@ class SessionRevisions(StatefulProcessor):
     panes: `on_time` the watermark passed the session end; `late` a closed session changed
     (the row restates the whole session); `early` an open session changed (only with
     `early=True`); `final` the session can no longer change (only with `final_only=True`,
-    which suppresses the others); `dropped` messages that came too late, for the metrics.
+    which suppresses the others); `dropped` messages that came too late, with their event second
+    and the watermark that refused them.
+
+    With `pane_delay`, early and late panes gather: the first change after a pane marks the session,
+    and one pane goes out when the watermark has passed that change's time by the delay. The time is
+    that of the clock that moves the watermark, so a replay gives the same panes. A session that
+    nobody has heard of and that is closed already goes out at once, like an on-time pane.
     """
 
-    def __init__(self, gap: int, lateness: int, early: bool = False, final_only: bool = False):
+    def __init__(self, gap: int, lateness: int, early: bool = False, final_only: bool = False, pane_delay: int = 0):
         self.gap = gap
         self.lateness = lateness
         self.early = early
         self.final_only = final_only
+        self.pane_delay = pane_delay
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("sessions", STATE)
+        self.root = handle.getValueState("index", ROOT)
+        self.pages = handle.getMapState("pages", PAGE_KEY, PAGE)
+        self.sessions = handle.getMapState("sessions", SESSION_KEY, SESSION)
 
     def close(self) -> None:
         pass
 
-    # When things happen to a session, in epoch seconds of the watermark.
+    # When things happen to a session, in milliseconds of the watermark.
 
     def _closes(self, s: Session) -> int:
-        return s.last + self.gap
+        return (s.last + self.gap) * 1_000
 
     def _expires(self, s: Session) -> int:
         # A message accepted at the last moment can join a session that ended up to one gap
         # before it. Without the extra gap it would restart the session from nothing.
-        return s.last + 2 * self.gap + self.lateness
+        return (s.last + 2 * self.gap + self.lateness) * 1_000
 
     def _due(self, s: Session) -> int:
-        return self._expires(s) if s.fired or self.final_only else self._closes(s)
-
-    def _load(self) -> tuple[int | None, list[Session]]:
-        stored = self.state.get()
-        if stored is None:
-            return None, []
-        due, sessions = stored
-        return due, [Session(*fields) for fields in json.loads(sessions)]
-
-    def _save(self, due: int | None, sessions: list[Session]) -> None:
-        if not sessions:
-            self.state.clear()
-            return
-        # One pending timer per key: the earliest thing that can happen to its sessions.
-        earliest = min(self._due(s) for s in sessions)
-        if due is None or earliest < due:
-            self.handle.registerTimer(earliest * 1_000)
-            due = earliest
-        fields = [(s.start, s.last, s.fired, s.counts) for s in sessions]
-        self.state.update((due, json.dumps(fields, separators=(",", ":"))))
-
-    def _row(self, key: tuple, s: Session, pane: str) -> Row:
+        following = self._expires(s) if s.fired or self.final_only else self._closes(s)
+        return earliest(s.pending, following)
+
+    def _load(self, start: int, last: int) -> Session:
+        fired, pending, counts = self.sessions.getValue((start,))
+        return Session(start, last, fired, dict(counts), pending, stored={start})
+
+    def _keep(self, index: SessionIndex, s: Session) -> None:
+        self.sessions.updateValue((s.start,), (s.fired, s.pending, s.counts))
+        index.put(s.start, s.last, self._due(s))
+
+    def _forget(self, index: SessionIndex, start: int) -> None:
+        self.sessions.removeKey((start,))
+        index.remove(start)
+
+    def _row(self, key: tuple, s: Session, pane: str, late_sec: int | None = None, watermark: int | None = None) -> Row:
         return Row(
             sessionId=key[0], sessionLengthSeconds=s.last - s.start, messageCount=dict(s.counts),
-            session_start=s.start, pane=pane,
+            session_start=s.start, pane=pane, late_sec=late_sec, watermark_ms=watermark,
         )
 
+    def _pane(self, s: Session, watermark: int) -> str:
+        return "late" if self._closes(s) <= watermark else "early"
+
+    def _merge(self, key: tuple, index: SessionIndex, touched: dict[int, Session], spans: list[Session], watermark: int) -> Iterator[Row]:
+        """Join new spans with the sessions they come near, and settle each session that changed."""
+        changed: set[int] = set()
+        for joined in spans:
+            # Sessions lie a gap apart, so what is near the span only is near the joined session.
+            for start, last, _ in index.near(joined.start, joined.last):
+                s = touched.pop(start, None) or self._load(start, last)
+                changed.discard(start)
+                if s.pending is not None and joined.changed is not None and s.pending <= joined.changed:
+                    # This change came after the gathered pane was due: it belongs to the next one.
+                    s.pending = None
+                    yield self._row(key, s, self._pane(s, watermark))
+                index.remove(start)
+                s.absorb(joined)
+                joined = s
+            index.put(joined.start, joined.last, 0)
+            touched[joined.start] = joined
+            changed.add(joined.start)
+        for start in sorted(changed):
+            yield from self._settle(key, touched[start], watermark)
+
+    def _settle(self, key: tuple, s: Session, watermark: int) -> Iterator[Row]:
+        """What a changed session gives now, and what it waits for."""
+        changed, s.changed = s.changed, None
+        if self.final_only:
+            return
+        closed = self._closes(s) <= watermark
+        if not closed and not self.early:
+            s.fired, s.pending = False, None  # the on-time pane will tell
+            return
+        if self.pane_delay and changed is not None and (s.fired or not closed):
+            s.fired = closed
+            s.pending = earliest(s.pending, changed + self.pane_delay * 1_000)
+            return
+        s.fired, s.pending = closed, None
+        yield self._row(key, s, "late" if closed else "early")
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        fresh: dict[int, dict[str, int]] = {}
-        dropped = Session(0, 0)
-        for _, name, second, n in rows:  # the columns of `combine_messages`
+        # Spans of one second by arrival; all at once where panes do not gather.
+        steps: dict[int | None, dict[int, dict[str, int]]] = {}
+        dropped: dict[int, dict[str, int]] = {}
+        for _, name, second, n, *first in rows:  # the columns of `combine_messages`
             late = (second + self.gap + self.lateness) * 1_000 <= watermark
-            counts = dropped.counts if late else fresh.setdefault(second, {})
+            arrived = first[0] if first and self.pane_delay else None
+            seconds = dropped if late else steps.setdefault(arrived, {})
+            counts = seconds.setdefault(second, {})
             counts[name] = counts.get(name, 0) + n
-        if dropped.counts:
-            yield self._row(key, dropped, "dropped")
-        if not fresh:
+        for second, counts in dropped.items():
+            yield self._row(key, Session(0, 0, counts=counts), "dropped", second, watermark)
+        if not steps:
             return
-        due, sessions = self._load()
-        sessions += [Session(sec, sec, counts=counts, touched=True) for sec, counts in fresh.items()]
-        sessions = merge_sessions(sessions, self.gap)
-        for s in sessions:
-            if not s.touched or self.final_only:
-                continue
-            if self._closes(s) * 1_000 <= watermark:
-                s.fired = True
-                yield self._row(key, s, "late")
-            elif self.early:
-                yield self._row(key, s, "early")
-        self._save(due, sessions)
+        index = SessionIndex(self.root, self.pages, self.gap)
+        touched: dict[int, Session] = {}
+        for arrived in sorted(steps, key=lambda a: a or 0):
+            spans = [Session(sec, sec, counts=counts, changed=arrived) for sec, counts in steps[arrived].items()]
+            yield from self._merge(key, index, touched, merge_sessions(spans, self.gap), watermark)
+        # A session that lost its start to an earlier one leaves its old entry.
+        for start in {start for s in touched.values() for start in s.stored} - touched.keys():
+            self.sessions.removeKey((start,))
+        for s in touched.values():
+            self._keep(index, s)
+        index.save(self.handle.registerTimer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        kept = []
-        for s in self._load()[1]:
-            if self._expires(s) * 1_000 <= watermark:
+        index = SessionIndex(self.root, self.pages, self.gap)
+        index.due = None
+        for start, last, _ in index.due_by(watermark):
+            s = self._load(start, last)
+            if not self.final_only:
+                if not s.fired and self._closes(s) <= watermark:
+                    s.fired, s.pending = True, None
+                    yield self._row(key, s, "on_time")
+                elif s.pending is not None and (s.pending <= watermark or self._expires(s) <= watermark):
+                    s.pending = None
+                    yield self._row(key, s, self._pane(s, watermark))
+            if self._expires(s) <= watermark:
                 if self.final_only:
                     yield self._row(key, s, "final")
-                    continue
-                if s.fired:
-                    continue
-            if not s.fired and not self.final_only and self._closes(s) * 1_000 <= watermark:
-                s.fired = True
-                yield self._row(key, s, "on_time")
-                if self._expires(s) * 1_000 <= watermark:
-                    continue
-            kept.append(s)
-        self._save(None, kept)
+                self._forget(index, start)
+            else:
+                self._keep(index, s)
+        index.save(self.handle.registerTimer)

@@ -10,6 +10,7 @@ from tideline.model import (
     GAP_SECONDS,
     MAX_SKEW_SECONDS,
     REVISION,
+    SESSION,
 )
 from tideline.operators.guards import accepted
 from tideline.operators.observe import observe_messages, observe_revisions
@@ -25,11 +26,16 @@ def session_revisions(
     clock: str = "arrival",
     early: bool = False,
     final_only: bool = False,
+    pane_delay: int = 0,
+    output_mode: str = "Update",
 ) -> DataFrame:
     """Revisions of every session (`model.REVISION`) as a streaming DataFrame.
 
     `clock` names what moves the watermark: `arrival`, the time messages came in, or `event`,
-    the greatest event time seen, for streams that record no arrival.
+    the greatest event time seen, for streams that record no arrival. With `pane_delay` (seconds
+    of that clock), early and late panes gather the changes of that time, else each micro-batch
+    that changes a session tells of it. `output_mode` is that of the query; state operators that
+    follow need `Append`.
     """
     if clock not in ("arrival", "event"):
         raise ValueError(f"clock must be 'arrival' or 'event', not {clock!r}")
@@ -38,12 +44,12 @@ def session_revisions(
     good = accepted(observe_messages(messages, max_skew), max_skew)
     good = good.withColumn("clock_ts", clock_ts).withWatermark("clock_ts", "0 seconds")
     revisions = (
-        combine_messages(good)
+        combine_messages(good, "clock_ts" if pane_delay else None)
         .groupBy("session_id")
         .transformWithState(
-            SessionRevisions(gap, lateness, early, final_only),
+            SessionRevisions(gap, lateness, early, final_only, pane_delay),
             outputStructType=REVISION,
-            outputMode="Update",
+            outputMode=output_mode,
             timeMode="EventTime",
         )
     )
@@ -57,4 +63,4 @@ def with_receipt_time(revisions: DataFrame) -> DataFrame:
 
 def final_sessions(messages: DataFrame, **options) -> DataFrame:
     """One row per session, once no accepted message can change it any more."""
-    return session_revisions(messages, final_only=True, **options).where("pane = 'final'").drop("pane")
+    return session_revisions(messages, final_only=True, **options).where("pane = 'final'").select(*SESSION.fieldNames())
