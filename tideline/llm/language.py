@@ -98,8 +98,9 @@ def judge(names: list[str], profiles: list[np.ndarray], most: int) -> Callable[[
             grams = grams[order]
             cuts = np.searchsorted(whose[order], np.arange(len(texts) + 1))
             chosen, scores = [], []
-            for low, high in zip(cuts[:-1], cuts[1:], strict=True):
-                if low == high or not names:
+            for text, low, high in zip(texts, cuts[:-1], cuts[1:], strict=True):
+                # Marks count in words, but a text of marks alone has no letter.
+                if low == high or not names or not any(map(str.isalpha, text)):
                     chosen.append(UNKNOWN)
                     scores.append(0.0)
                     continue
