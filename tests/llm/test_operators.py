@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import html
+import math
 import random
 import re
+import time
 
 import duckdb
 import numpy as np
@@ -526,3 +528,122 @@ def test_recall_and_false_alarms_on_held_out_rows(spark):
     rows = toxicity.toxicity(docs, labels).join(labels, "doc_id").where("held_out").toPandas()
     toxic = rows.toxic == 1
     assert (rows.predicted[toxic] == 1).mean() >= 0.85 and (rows.predicted[~toxic] == 1).mean() <= 0.01
+
+
+@pytest.mark.parametrize("source", [
+    f"<body><article>{LONG}</article><article class=comment>I liked it a lot.</article><article class=comment>So did I.</article></body>",
+    f"<body><article><p>{LONG}</p><section id=responses><p>I liked it.</p></section></article></body>",
+    f"<body><div><p>{LONG}</p></div><div class=reviews><p>Five stars from me.</p></div></body>",
+    f"<body><main>{LONG}<ol class='comment-list'><li>First!</ol></main></body>",
+    f"<body><div class='comments-area user-comments'>First!</div><div>{LONG}</div><div id=article-discussion>Second!</div></body>",
+    f"<body><article class='post review'>{LONG}</article></body>",
+    f"<body><article class=comment>{LONG}</article></body>",
+    f"<body><article><section class='related-work'>{LONG}</section></article></body>",
+    f"<body><div class='social-studies'><p>{LONG}</p></div></body>",
+    f"<body><article><div class='share-price'>{LONG}</div><div class='share-buttons'>Tell others</div></article></body>",
+    f"<body><article>{LONG}<div class='taboola-related-widget'>More</div><div class='ad-slot ad-slot-top'>Buy</div></article></body>",
+])
+def test_page_text_without_readers_and_with_its_own_parts(source):
+    assert pages.main_text(source) == LONG.strip()
+
+
+def test_page_text_comes_from_densities_where_no_tag_tells(spark):
+    rows = [r.html for r in spark.read.parquet(f"{MIDDLE}/pages.parquet").collect()]
+    same = sum(pages.main_text(re.sub(r"</?(?:article|main)\b[^>]*>", "", x)) == pages.main_text(x) for x in rows)
+    assert same >= 0.98 * len(rows)
+    links = "".join(f"<li><a href=/{k}>Another story {k}</a></li>" for k in range(30))
+    source = f"<body><div><ul>{links}</ul></div><div><div><h2>Title</h2><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div></div><div><a href=1>Terms</a> <a href=2>Contact</a></div></body>"
+    assert pages.main_text(source) == f"Title\n{LONG.strip()}\nShort.\n{LONG.strip()}"
+
+
+def plain_densities(node):
+    """The density of a subtree by its formula, counted anew for each node."""
+    def nodes(n):
+        for x in n.pieces:
+            if isinstance(x, pages.Node):
+                yield x
+                yield from nodes(x)
+
+    def chars(n):
+        return sum(len("".join(x.split())) for m in [n, *nodes(n)] for x in m.pieces if isinstance(x, str))
+
+    def links(n):
+        return [m for m in [n, *nodes(n)] if m.tag == "a"]
+
+    body = plain_densities.body
+    c, t, anchors = chars(node), max(sum(1 for _ in nodes(node)), 1), links(node)
+    lc = sum(chars(a) for a in anchors)
+    if not c:
+        return 0.0
+    inner = c / max(lc, 1) * t / max(len(anchors), 1)
+    all_links = sum(chars(a) for a in links(body))
+    base = math.log(c / max(c - lc, 1) * lc + all_links / max(chars(body), 1) * c + math.e)
+    return c / t * max(math.log(max(inner, 1.0)), 0.0) / base
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_density_against_the_formula(seed):
+    random.seed(seed)
+
+    def piece(depth):
+        if depth == 0 or random.random() < 0.3:
+            return random.choice(("word ", "some more text ", "<br>", "<a href=x>link</a>", ""))
+        tag = random.choice(("div", "section", "b", "ul"))
+        return f"<{tag}>{''.join(piece(depth - 1) for _ in range(random.randint(1, 4)))}</{tag}>"
+
+    _, body = pages.parse(f"<body>{''.join(piece(4) for _ in range(5))}</body>")
+    plain_densities.body = body
+    order = pages.measure(body)
+    assert len(order) > 5
+    for node in order:
+        assert node.density == pytest.approx(plain_densities(node))
+        assert node.total == pytest.approx(sum(plain_densities(x) for x in node.pieces if isinstance(x, pages.Node)))
+    # Ties go to the node that comes first on the page among the innermost.
+    assert max(n.total for n in order) == max(reversed(order), key=lambda n: n.total).total
+
+
+@pytest.mark.parametrize("source", [
+    "<div>" * 20_000 + "x" + "</b>" * 100_000,
+    "<b>" * 20_000 + "<div></div>" * 20_000 + "<li></li>" * 20_000,
+    "<div>" * 20_000 + "<header></header>" * 20_000 + "x",
+    "<td><b>" * 10_000 + "</p></i></b>" * 30_000,
+])
+def test_broken_pages_take_linear_time(source):
+    start = time.process_time()
+    pages.main_text(source)
+    assert time.process_time() - start < 4
+
+
+def test_pages_with_other_columns_and_empty_tables(spark):
+    rows = [(1, "u", f"<p>{LONG}", "x", 1), (None, None, None, None, None), (1, "u", f"<p>{LONG}", "x", 1)]
+    odd = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars long")
+    assert sorted(r.n_chars for r in pages.extract(odd).collect()) == [0, len(LONG.strip()), len(LONG.strip())]
+    assert pages.extract(odd.where(F.lit(False))).count() == 0
+
+
+def test_contaminated_rows_without_an_id_go(spark):
+    docs = [r.text for r in spark.read.parquet(f"{SMALL}/documents.parquet").where("length(text) > 300").orderBy("doc_id").limit(12).collect()]
+    item = spark.read.parquet(f"{SMALL}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(None, f"{docs[0]} {item} {docs[1]}"), (None, docs[2]), (None, None), (1, f"{docs[3]} {item}"), (2, docs[4])]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_judged", F.lit(1))
+    kept = keep_uncontaminated(frame, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert kept.columns == frame.columns
+    assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(0, docs[2]), (0, ""), (2, docs[4])])
+
+
+def test_marks_alone_are_no_language(spark):
+    docs = spark.createDataFrame([(1, "aab ab", "x"), (2, "\u0301\u0300 12", None), (3, "a\u0301", None)], "doc_id long, text string, lang string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(docs, held=99).collect()}
+    assert got[2] == ("und", 0.0) and got[3][0] == "x"
+
+
+def test_pipeline_on_empty_and_odd_tables(spark, tmp_path, odd):
+    benchmark = spark.createDataFrame([(1, "a b"), (None, "x"), (2, None)], "item_id long, text string")
+    usual = spark.read.parquet(f"{SMALL}/documents.parquet").where("doc_id >= 10 and length(text) > 300").select("doc_id", "text", "lang", "source")
+    for name, docs in (("empty", odd.where(F.lit(False))), ("odd", odd.unionByName(usual, allowMissingColumns=True))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        benchmark.write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
+    kept = [r.doc_id for r in corpus_pipeline.run(spark, f"{tmp_path}/odd").collect()]
+    # Of the odd rows the long German one may stay; the others are empty, hold no language, or are the benchmark's own text.
+    assert set(kept) <= {5, *(r.doc_id for r in usual.collect())} and len(kept) == len(set(kept)) > 20
