@@ -1,140 +1,173 @@
-"""Ordered index of a key's open sessions, kept in state so that a batch reads only what lies near.
+"""A key's open sessions in state, ordered by start and cut into pages.
 
-Entries are (start, last, due) in order of start, packed as 64-bit numbers. Up to `LEAF` of them
-lie in the root value. Beyond that the root lists time pages with their earliest due time, and
-each page is a map entry of its own: a lookup reads the root and one or two pages.
+A key with up to `LEAF` open sessions has them in one value. Beyond that the value lists time pages
+with the earliest time something is due in them, and each page is a map entry of its own. A batch
+reads and writes that list and the pages its messages fall in, however many sessions the key has.
+Numbers are packed as 64-bit values and the counts of a page are one JSON text: each is a single
+field on its way to the state store, where nested rows would be converted field by field.
 """
 
 from __future__ import annotations
 
+import json
 from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
-from math import inf
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 
-Entry = tuple[int, int, int]
+ROOT = "timer bigint, paged boolean, numbers binary, counts string"
+PAGE_KEY, PAGE = "page bigint", "numbers binary, counts string"
+# Sessions of one key start at least a gap apart, so a page this many gaps wide has at most as many.
+LEAF = 32
+NEVER = 2**62
 
-ROOT = "due bigint, paged boolean, entries binary"
-PAGE_KEY, PAGE = "page bigint", "entries binary"
-# Sessions of one key start at least a gap apart, so a page this many gaps wide has at most as many entries.
-LEAF = 64
 
+@dataclass
+class Session:
+    start: int
+    last: int
+    fired: bool = False
+    counts: dict[str, int] = field(default_factory=dict)
+    # When a gathered pane is due, and the earliest arrival of a change not yet accounted for.
+    pending: int | None = None
+    changed: int | None = None
 
-def pack(rows: list[tuple[int, ...]]) -> bytes:
+    def absorb(self, other: "Session") -> None:
+        self.last = max(self.last, other.last)
+        self.start = min(self.start, other.start)
+        self.fired = self.fired or other.fired
+        self.pending = earliest(self.pending, other.pending)
+        self.changed = earliest(self.changed, other.changed)
+        for name, n in other.counts.items():
+            self.counts[name] = self.counts.get(name, 0) + n
+
+
+def earliest(*times: int | None) -> int | None:
+    return min((t for t in times if t is not None), default=None)
+
+
+def numbers(rows: list[tuple[int, ...]]) -> bytes:
     return array("q", [x for row in rows for x in row]).tobytes()
 
 
-def unpack(packed: bytes, width: int) -> list[tuple[int, ...]]:
+def rows_of(packed: bytes, width: int) -> Iterator[tuple[int, ...]]:
     flat = array("q")
     flat.frombytes(packed)
-    return list(zip(*(flat[k::width] for k in range(width))))
+    return zip(*(flat[k::width] for k in range(width)))
 
 
-class SessionIndex:
-    """The index of the key at hand, loaded by leaf and saved once at the end of a call."""
+def pack(sessions: list[Session]) -> tuple[bytes, str]:
+    rows = [(s.start, s.last, s.fired, NEVER if s.pending is None else s.pending) for s in sessions]
+    return numbers(rows), json.dumps([s.counts for s in sessions], separators=(",", ":"))
 
-    def __init__(self, root, pages, gap: int) -> None:
-        self.root, self.stored, self.gap, self.width = root, pages, gap, gap * LEAF
-        stored = root.get()
-        self.due, self.paged, packed = stored if stored is not None else (None, False, b"")
-        self.was_empty = stored is None
-        self.leaves: dict[int, list[Entry]] = {}
-        self.changed: set[int] = set()
-        if self.paged:
-            self.earliest = dict(unpack(packed, 2))
-        else:
-            self.leaves[0] = unpack(packed, 3)
-            self.earliest = {0: 0} if self.leaves[0] else {}
+
+def unpack(packed: bytes, counts: str) -> list[Session]:
+    return [
+        Session(start, last, bool(fired), held, None if pending == NEVER else pending)
+        for (start, last, fired, pending), held in zip(rows_of(packed, 4), json.loads(counts), strict=True)
+    ]
+
+
+class SessionStore:
+    """The sessions of the key at hand: pages are read when needed and what changed is saved once."""
+
+    def __init__(self, root, pages, gap: int, due: Callable[[Session], int]) -> None:
+        self.root, self.stored, self.gap, self.width, self.due = root, pages, gap, gap * LEAF, due
+        found = root.get()
+        self.timer, self.paged, packed, counts = found if found is not None else (None, False, b"", "[]")
+        self.was_empty, self.was_paged = found is None, self.paged
+        self.leaves: dict[int, list[Session]] = {} if self.paged else {0: unpack(packed, counts)}
+        # The earliest time that something is due, by page; no page is empty.
+        self.earliest = dict(rows_of(packed, 2)) if self.paged else {0: min(map(due, self.leaves[0]))} if self.leaves[0] else {}
         self.order = sorted(self.earliest)
+        self.changed: set[int] = set()
 
     def _page(self, second: int) -> int:
         return second // self.width if self.paged else 0
 
-    def _leaf(self, page: int) -> list[Entry]:
+    def _leaf(self, page: int) -> list[Session]:
         if page not in self.leaves:
-            stored = self.stored.getValue((page,)) if page in self.earliest else None
-            self.leaves[page] = unpack(stored[0], 3) if stored is not None else []
+            self.leaves[page] = unpack(*self.stored.getValue((page,))) if page in self.earliest else []
         return self.leaves[page]
 
-    def near(self, start: int, last: int) -> list[Entry]:
+    def near(self, start: int, last: int) -> list[Session]:
         """Sessions that come closer than the gap to a span, in order: at most one begins before it."""
         found = []
         at = bisect_right(self.order, self._page(start)) - 1
         while at >= 0:
             leaf = self._leaf(self.order[at])
-            before = bisect_right(leaf, (start, inf, inf)) - 1
+            before = bisect_right(leaf, start, key=lambda s: s.start) - 1
             if before >= 0:
-                if start - leaf[before][1] < self.gap:
+                if start - leaf[before].last < self.gap:
                     found.append(leaf[before])
                 break
             at -= 1  # no page is empty: one step back is enough
         for page in self.order[bisect_left(self.order, self._page(start)):]:
             if page > self._page(last + self.gap):
                 break
-            leaf = self._leaf(page)
-            found += leaf[bisect_right(leaf, (start, inf, inf)): bisect_left(leaf, (last + self.gap,))]
+            found += [s for s in self._leaf(page) if start < s.start < last + self.gap]
         return found
 
-    def due_by(self, millis: int) -> list[Entry]:
+    def due_by(self, millis: int) -> list[Session]:
         """Sessions with something due, in order of start; reads only pages that hold one."""
         pages = [p for p in self.order if not self.paged or self.earliest[p] <= millis]
-        return [e for p in pages for e in list(self._leaf(p)) if e[2] <= millis]
+        return [s for p in pages for s in self._leaf(p) if self.due(s) <= millis]
 
-    def put(self, start: int, last: int, due: int) -> None:
-        page = self._page(start)
+    def add(self, session: Session) -> None:
+        page = self._page(session.start)
         leaf = self._leaf(page)
-        at = bisect_left(leaf, (start,))
-        if at < len(leaf) and leaf[at][0] == start:
-            leaf[at] = (start, last, due)
-        else:
-            leaf.insert(at, (start, last, due))
+        leaf.insert(bisect_left(leaf, session.start, key=lambda s: s.start), session)
         if page not in self.earliest:
-            self.earliest[page] = due
+            self.earliest[page] = 0
             self.order = sorted(self.earliest)
         self.changed.add(page)
 
-    def remove(self, start: int) -> None:
-        page = self._page(start)
+    def remove(self, session: Session) -> None:
+        page = self._page(session.start)
         leaf = self._leaf(page)
-        del leaf[bisect_left(leaf, (start,))]
+        del leaf[bisect_left(leaf, session.start, key=lambda s: s.start)]
         self.changed.add(page)
         if not leaf:
             del self.earliest[page]
             self.order.remove(page)
 
+    def touch(self, session: Session) -> None:
+        self.changed.add(self._page(session.start))
+
     def _split(self) -> None:
         """From one leaf in the root to pages."""
-        entries, self.paged, self.leaves, self.earliest = self.leaves[0], True, {}, {}
-        for entry in entries:
-            self.leaves.setdefault(self._page(entry[0]), []).append(entry)
-        self.changed, self.order = set(self.leaves), sorted(self.leaves)
+        sessions, self.paged, self.leaves = self.leaves[0], True, {}
+        for s in sessions:
+            self.leaves.setdefault(self._page(s.start), []).append(s)
+        self.changed = set(self.leaves)
+        self.earliest = dict.fromkeys(self.leaves, 0)
 
-    def save(self, register) -> None:
+    def save(self, register: Callable[[int], None]) -> None:
         """Write what changed; `register` a timer if something is due before the one that is pending."""
         if not self.paged and len(self.leaves[0]) > LEAF:
             self._split()
-        if self.paged:
-            for page in self.changed:
-                if self.leaves[page]:
-                    self.stored.updateValue((page,), (pack(self.leaves[page]),))
-                    self.earliest[page] = min(e[2] for e in self.leaves[page])
-                else:
-                    self.stored.removeKey((page,))
-        elif self.leaves[0]:
-            self.earliest = {0: min(e[2] for e in self.leaves[0])}
+        before = None if self.was_paged != self.paged else (self.timer, dict(self.earliest))
+        for page in self.changed:
+            if self.leaves[page]:
+                self.earliest[page] = min(map(self.due, self.leaves[page]))
+                if self.paged:
+                    self.stored.updateValue((page,), pack(self.leaves[page]))
+            elif self.paged:
+                self.stored.removeKey((page,))
         if not self.earliest:
             if not self.was_empty:
                 self.root.clear()
             return
         first = min(self.earliest.values())
-        if self.due is None or first < self.due:
+        if self.timer is None or first < self.timer:
             register(first)
-            self.due = first
-        rows = list(self.earliest.items()) if self.paged else self.leaves[0]
-        self.root.update((self.due, self.paged, pack(sorted(rows))))
-
-
-def entries(index: SessionIndex) -> Iterator[Entry]:
-    """All entries in order, for tests and inspection."""
-    for page in index.order:
-        yield from index._leaf(page)
+            self.timer = first
+        if not self.paged:
+            self.root.update((self.timer, False, *pack(self.leaves[0])))
+        elif before != (self.timer, self.earliest):
+            self.root.update((self.timer, True, numbers(sorted(self.earliest.items())), ""))
+
+    def sessions(self) -> Iterator[Session]:
+        """All sessions in order, for tests and inspection."""
+        for page in self.order:
+            yield from self._leaf(page)

@@ -1,48 +1,18 @@
 """State operator: merging sessions per key, with revisions for late data.
 
-Each open session of a key is a map entry of its own under its start: counts per name, never
-messages. An ordered index (`streaming.index`) finds the sessions that a message can touch, so a
-batch reads and writes only these, however many sessions the key has open.
+State holds the open sessions of a key with counts per name, never messages, in pages by time
+(`streaming.index`): a batch reads and writes what lies near its messages, however many sessions
+the key has open.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
 
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tideline.streaming.index import PAGE, PAGE_KEY, ROOT, SessionIndex
-
-SESSION_KEY, SESSION = "start bigint", "fired boolean, pending bigint, counts map<string,bigint>"
-
-
-@dataclass
-class Session:
-    start: int
-    last: int
-    fired: bool = False
-    counts: dict[str, int] = field(default_factory=dict)
-    # When a gathered pane is due, and the earliest arrival of a change not yet accounted for.
-    pending: int | None = None
-    changed: int | None = None
-    # Starts under which parts of it lie in state.
-    stored: set[int] = field(default_factory=set)
-
-    def absorb(self, other: "Session") -> None:
-        self.last = max(self.last, other.last)
-        self.start = min(self.start, other.start)
-        self.fired = self.fired or other.fired
-        self.pending = earliest(self.pending, other.pending)
-        self.changed = earliest(self.changed, other.changed)
-        self.stored |= other.stored
-        for name, n in other.counts.items():
-            self.counts[name] = self.counts.get(name, 0) + n
-
-
-def earliest(*times: int | None) -> int | None:
-    return min((t for t in times if t is not None), default=None)
+from tideline.streaming.index import PAGE, PAGE_KEY, ROOT, Session, SessionStore, earliest
 
 
 def merge_sessions(sessions: Iterable[Session], gap: int) -> list[Session]:
@@ -80,9 +50,8 @@ class SessionRevisions(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.root = handle.getValueState("index", ROOT)
+        self.root = handle.getValueState("sessions", ROOT)
         self.pages = handle.getMapState("pages", PAGE_KEY, PAGE)
-        self.sessions = handle.getMapState("sessions", SESSION_KEY, SESSION)
 
     def close(self) -> None:
         pass
@@ -101,17 +70,8 @@ class SessionRevisions(StatefulProcessor):
         following = self._expires(s) if s.fired or self.final_only else self._closes(s)
         return earliest(s.pending, following)
 
-    def _load(self, start: int, last: int) -> Session:
-        fired, pending, counts = self.sessions.getValue((start,))
-        return Session(start, last, fired, dict(counts), pending, stored={start})
-
-    def _keep(self, index: SessionIndex, s: Session) -> None:
-        self.sessions.updateValue((s.start,), (s.fired, s.pending, s.counts))
-        index.put(s.start, s.last, self._due(s))
-
-    def _forget(self, index: SessionIndex, start: int) -> None:
-        self.sessions.removeKey((start,))
-        index.remove(start)
+    def _store(self) -> SessionStore:
+        return SessionStore(self.root, self.pages, self.gap, self._due)
 
     def _row(self, key: tuple, s: Session, pane: str, late_sec: int | None = None, watermark: int | None = None) -> Row:
         return Row(
@@ -122,26 +82,24 @@ class SessionRevisions(StatefulProcessor):
     def _pane(self, s: Session, watermark: int) -> str:
         return "late" if self._closes(s) <= watermark else "early"
 
-    def _merge(self, key: tuple, index: SessionIndex, touched: dict[int, Session], spans: list[Session], watermark: int) -> Iterator[Row]:
+    def _merge(self, key: tuple, store: SessionStore, spans: list[Session], watermark: int) -> Iterator[Row]:
         """Join new spans with the sessions they come near, and settle each session that changed."""
-        changed: set[int] = set()
+        changed: dict[int, Session] = {}
         for joined in spans:
             # Sessions lie a gap apart, so what is near the span only is near the joined session.
-            for start, last, _ in index.near(joined.start, joined.last):
-                s = touched.pop(start, None) or self._load(start, last)
-                changed.discard(start)
+            for s in store.near(joined.start, joined.last):
+                changed.pop(s.start, None)
                 if s.pending is not None and joined.changed is not None and s.pending <= joined.changed:
                     # This change came after the gathered pane was due: it belongs to the next one.
                     s.pending = None
                     yield self._row(key, s, self._pane(s, watermark))
-                index.remove(start)
+                store.remove(s)
                 s.absorb(joined)
                 joined = s
-            index.put(joined.start, joined.last, 0)
-            touched[joined.start] = joined
-            changed.add(joined.start)
-        for start in sorted(changed):
-            yield from self._settle(key, touched[start], watermark)
+            store.add(joined)
+            changed[joined.start] = joined
+        for _, s in sorted(changed.items()):
+            yield from self._settle(key, s, watermark)
 
     def _settle(self, key: tuple, s: Session, watermark: int) -> Iterator[Row]:
         """What a changed session gives now, and what it waits for."""
@@ -174,24 +132,17 @@ class SessionRevisions(StatefulProcessor):
             yield self._row(key, Session(0, 0, counts=counts), "dropped", second, watermark)
         if not steps:
             return
-        index = SessionIndex(self.root, self.pages, self.gap)
-        touched: dict[int, Session] = {}
+        store = self._store()
         for arrived in sorted(steps, key=lambda a: a or 0):
             spans = [Session(sec, sec, counts=counts, changed=arrived) for sec, counts in steps[arrived].items()]
-            yield from self._merge(key, index, touched, merge_sessions(spans, self.gap), watermark)
-        # A session that lost its start to an earlier one leaves its old entry.
-        for start in {start for s in touched.values() for start in s.stored} - touched.keys():
-            self.sessions.removeKey((start,))
-        for s in touched.values():
-            self._keep(index, s)
-        index.save(self.handle.registerTimer)
+            yield from self._merge(key, store, merge_sessions(spans, self.gap), watermark)
+        store.save(self.handle.registerTimer)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        index = SessionIndex(self.root, self.pages, self.gap)
-        index.due = None
-        for start, last, _ in index.due_by(watermark):
-            s = self._load(start, last)
+        store = self._store()
+        store.timer = None
+        for s in store.due_by(watermark):
             if not self.final_only:
                 if not s.fired and self._closes(s) <= watermark:
                     s.fired, s.pending = True, None
@@ -202,7 +153,7 @@ class SessionRevisions(StatefulProcessor):
             if self._expires(s) <= watermark:
                 if self.final_only:
                     yield self._row(key, s, "final")
-                self._forget(index, start)
+                store.remove(s)
             else:
-                self._keep(index, s)
-        index.save(self.handle.registerTimer)
+                store.touch(s)
+        store.save(self.handle.registerTimer)
