@@ -20,7 +20,7 @@ from tideline.session import build_session  # noqa: E402
 
 # One directory for each event minute: tens of thousands on one machine, so by name only.
 BY_NAME = {"dedupe_job_minute"}
-ONCE = {"dedupe_job", "dedupe_job_minute", "stream_revisions", "stream_reconciled", "stream_final_sessions"}
+ONCE = {"dedupe_job", "dedupe_job_minute", "reconcile_job", "native_final_sessions"}
 
 
 def seconds(spark, name: str, sf_dir: str) -> float:
@@ -43,7 +43,7 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     times = {}
     for name in names:
-        if name in ONCE:
+        if name in ONCE or name.startswith("stream_"):
             times[name] = round(seconds(spark, name, sf_dir), 3)
             continue
         seconds(spark, name, sf_dir)

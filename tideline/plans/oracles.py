@@ -168,6 +168,10 @@ ORACLES: dict[str, str] = {
         m as (select w.*, (select max(top) from tops where tops.wave < w.wave) as watermark from w)
         select k as session_id, name as message_name, count(*) as n, t as event_sec, watermark * 1000 as watermark_ms
         from m where t + 3600 + 3600 <= watermark group by k, name, t, watermark""",
+    "stream_minute_layout": f"""
+        with ev as (select cast(o_custkey as varchar) as k, o_orderpriority as name,
+                           epoch_us(o_orderdate) // 1000000 as t, 1 as wave from orders),
+        {sessions('ev', 10_000 * 86_400)} select {rows()} from s""",
     "stream_metrics": f"""
         with {WAVES}, {sessions('w1', WIDE, 'f')}, {sessions('ev', WIDE, 'g')},
         wm as (select max(t) as w from w1),

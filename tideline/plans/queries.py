@@ -33,6 +33,10 @@ from tideline.streaming.revisions import final_sessions, with_receipt_time
 # Most users of the test tables act hours apart; this gap gives sessions of several messages.
 WIDE_GAP = 21_600
 ORDER_GAP = 30 * 86_400
+# Longer than the time that all orders span.
+LIFE_GAP = 10_000 * 86_400
+# An order comes in late when it is dearer than this.
+DEAR = 450_000
 # A message counts as delivered late when its value exceeds this.
 LATE_VALUE = 100
 DAYS = 86_400
@@ -330,6 +334,22 @@ def q_stream_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return figures.groupBy("observed", "metric").agg(totals.alias("value"))
 
 
+def q_stream_minute_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with a directory for each event minute: sessions of a customer's `orders`, dear ones late.
+
+    The gap makes one session of each customer, so the late orders restate sessions and move starts
+    to other minutes; deduplication on notice and reconcile leave the true ones.
+    """
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    wave = F.when(F.col("o_totalprice") > DEAR, 2).otherwise(1)
+    arrival = instant(epoch_seconds_ntz(F.col("o_orderdate")) + (wave - 1) * 8_000 * DAYS)
+    rows = normalise(
+        orders.withColumn("wave", wave), "o_custkey", "o_orderpriority", "o_orderdate", None, arrival, keep=["wave"])
+    _, clean = replay_stream(
+        spark, rows, 2, "minute", dedupe_each_wave=True, gap=LIFE_GAP, early=True, lateness=LIFE_GAP, max_skew=LIFE_GAP)
+    return as_text(reconcile(scan_table(spark, clean, clean_schema("minute")), LIFE_GAP))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "session_metrics": q_session_metrics,
     "session_metrics_60s": q_session_metrics_60s,
@@ -360,4 +380,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_late_panes": q_stream_late_panes,
     "stream_late_drops": q_stream_late_drops,
     "stream_metrics": q_stream_metrics,
+    "stream_minute_layout": q_stream_minute_layout,
 }
