@@ -1,8 +1,9 @@
-"""Command line of the three jobs, for spark-submit or `python -m tideline`.
+"""Command line of the jobs, for spark-submit or `python -m tideline`.
 
     sessions          messages -> raw session revisions and availability notices (streaming)
     dedupe            latest revision per session for the given event minutes (batch)
     dedupe-on-notice  the same, driven by notices (streaming)
+    reconcile         clean rows that a newer revision made obsolete, around the given event minutes (batch)
 """
 
 from __future__ import annotations
@@ -16,11 +17,17 @@ from tideline.operators.observe import MetricsTable, ProgressLog
 from tideline.plans.dedupe_job import dedupe
 from tideline.plans.notice_job import run_dedupe_on_notice
 from tideline.plans.pipeline import UNTIL_DONE, run_pipeline, run_quarantine
+from tideline.plans.reconcile_job import reconcile_days
 from tideline.session import build_session
 from tideline.sources.messages import stream_messages, stream_payloads
+from tideline.sources.partitions import seconds_frame
 from tideline.sources.protobuf import decode_messages
 
 
+# Folders that a listener of this process writes figures to; it goes on listening between jobs.
+LISTENING: set[str] = set()
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="tideline")
     top.add_argument("--grain", choices=GRAINS, default="minute", help="finest directory level")
@@ -51,6 +58,11 @@ def parser() -> argparse.ArgumentParser:
     batch.add_argument("--event-time-second", type=int, action="append", required=True)
     on_notice = jobs.add_parser("dedupe-on-notice")
     on_notice.add_argument("--notices", required=True)
+    reconciled = jobs.add_parser("reconcile")
+    reconciled.add_argument("--event-time-second", type=int, action="append", required=True)
+    reconciled.add_argument("--clean-root", required=True, help="clean dataset, rewritten in place")
+    reconciled.add_argument("--gap", type=int, default=GAP_SECONDS)
+    reconciled.add_argument("--span-days", type=int, default=1, help="length of the longest session")
     for job in (batch, on_notice):
         job.add_argument("--input-root", required=True, help="raw dataset")
         job.add_argument("--output-root", required=True, help="clean dataset")
@@ -91,11 +103,15 @@ def main(argv: list[str] | None = None) -> SparkSession:
     spark = build_session(f"tideline-{args.job}")
     spark.streams.addListener(ProgressLog())
     if args.job == "sessions":
-        if args.metrics:
+        if args.metrics and args.metrics not in LISTENING:
+            LISTENING.add(args.metrics)
             spark.streams.addListener(MetricsTable(spark, args.metrics))
         _run_sessions(spark, args)
     elif args.job == "dedupe":
         dedupe(spark, args.input_root, args.event_time_second, args.output_root, args.grain)
+    elif args.job == "reconcile":
+        minutes = seconds_frame(spark, args.event_time_second)
+        reconcile_days(spark, args.clean_root, minutes, args.grain, args.gap, args.span_days)
     else:
         run_dedupe_on_notice(
             spark, args.notices, args.input_root, args.output_root, args.checkpoint,
