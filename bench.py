@@ -19,7 +19,7 @@ from tideline.plans.queries import QUERIES  # noqa: E402
 from tideline.session import build_session  # noqa: E402
 
 # One directory for each event minute: tens of thousands on one machine, so by name only.
-BY_NAME = {"dedupe_job_minute"}
+BY_NAME = {"dedupe_job_minute", "stream_minute_layout"}
 ONCE = {"dedupe_job", "dedupe_job_minute", "reconcile_job", "native_final_sessions"}
 
 
