@@ -6,7 +6,7 @@ import random
 
 import pytest
 from helpers import brute_force
-from hypothesis import given, settings, strategies as st
+from hypothesis import example, given, settings, strategies as st
 
 from tideline.streaming.index import LEAF
 from tideline.streaming.processor import Session, SessionRevisions, merge_sessions
@@ -244,8 +244,9 @@ def test_messages_refused_come_with_their_second_and_the_watermark():
     ]
 
 
-@settings(max_examples=60, deadline=None)
+@settings(max_examples=120, deadline=None)
 @given(st.integers(0, 2 ** 32), st.integers(2, 400))
+@example(356, 355)
 def test_many_open_sessions_split_into_pages_and_back(seed, count):
     rng = random.Random(seed)
     h, out = Harness(lateness=10 ** 6), []
@@ -258,6 +259,23 @@ def test_many_open_sessions_split_into_pages_and_back(seed, count):
     assert got == brute_force([("k", *m) for m in messages], GAP) and h.empty()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 2 ** 32))
+def test_pages_that_empty_and_fill_again(seed):
+    rng = random.Random(seed)
+    h, out, messages, now = Harness(lateness=5_000), [], [], 0
+    for _ in range(40):
+        batch = [("a", now + rng.randrange(-4_000, 1_500)) for _ in range(rng.choice((0, 1, 30)))]
+        batch = [m for m in batch if m[1] >= 0]
+        messages += batch
+        out += h.batch(*batch)
+        now += rng.choice((0, 100, 3_000))
+        out += h.advance(now)
+        h.open
+    out += h.advance(10 ** 8)
+    assert newest_cover(out) == brute_force([("k", *m) for m in messages], GAP) and h.empty()
+
+
 def spent(count):
     """State calls and bytes a message takes with that many open sessions, on average of many places."""
     h = Harness(lateness=10 ** 9)

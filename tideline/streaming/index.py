@@ -75,12 +75,14 @@ class SessionStore:
         self.root, self.stored, self.gap, self.width, self.due = root, pages, gap, gap * LEAF, due
         found = root.get()
         self.timer, self.paged, packed, counts = found if found is not None else (None, False, b"", "[]")
-        self.was_empty, self.was_paged = found is None, self.paged
+        self.was_empty = found is None
         self.leaves: dict[int, list[Session]] = {} if self.paged else {0: unpack(packed, counts)}
         # The earliest time that something is due, by page; no page is empty.
         self.earliest = dict(rows_of(packed, 2)) if self.paged else {0: min(map(due, self.leaves[0]))} if self.leaves[0] else {}
         self.order = sorted(self.earliest)
         self.changed: set[int] = set()
+        # What the root says of the pages, to see whether it has to be written again.
+        self.listed = (self.timer, dict(self.earliest)) if self.paged else None
 
     def _page(self, second: int) -> int:
         return second // self.width if self.paged else 0
@@ -146,7 +148,6 @@ class SessionStore:
         """Write what changed; `register` a timer if something is due before the one that is pending."""
         if not self.paged and len(self.leaves[0]) > LEAF:
             self._split()
-        before = None if self.was_paged != self.paged else (self.timer, dict(self.earliest))
         for page in self.changed:
             if self.leaves[page]:
                 self.earliest[page] = min(map(self.due, self.leaves[page]))
@@ -164,7 +165,7 @@ class SessionStore:
             self.timer = first
         if not self.paged:
             self.root.update((self.timer, False, *pack(self.leaves[0])))
-        elif before != (self.timer, self.earliest):
+        elif self.listed != (self.timer, self.earliest):
             self.root.update((self.timer, True, numbers(sorted(self.earliest.items())), ""))
 
     def sessions(self) -> Iterator[Session]:
