@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from tideline.llm.buffers import slices
-from tideline.llm.chunks import SPACE, Numbered, cut, json_cuts_at_spaces, json_tokenizer, pieces_cut_at_spaces
+from tideline.llm.chunks import SPACE, Numbered, cut, ids_of, json_cuts_at_spaces, json_tokenizer, pieces_cut_at_spaces
 from tideline.llm.tables import table, whole_text, written
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 SHIFT = 32
 GROUPS = "start long, end long, a array<int>, b array<int>"
 
@@ -97,7 +97,7 @@ class Aligner:
 
     def encode(self, chunks: list[str]) -> tuple[np.ndarray, ...]:
         """Ids of A, their counts, ids of B, their counts, and which chunks both spell out; the others have no ids."""
-        a = [x.ids for x in self.a.encode_batch(chunks, add_special_tokens=False)]
+        a = list(ids_of(self.a, chunks))
         # B puts the first space in front itself, except before nothing.
         b = self.b.encode([c[1:] for c in chunks], num_threads=1)
         for at in [k for k, c in enumerate(chunks) if c == " "]:
@@ -163,7 +163,7 @@ class Aligner:
 
 
 def aligned_blocks(json_file: bytes, model: bytes, id_type: pa.DataType) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """A row for each block of about 4 MB of text: per text its figures and chunks, per chunk its links, the block's pairs."""
+    """A row for each block of about 2 MB of text: per text its figures and chunks, per chunk its links, the block's pairs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner, numbered = Aligner(json_file, model), Numbered()

@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Iterator
 from typing import Any
 
 SPACE = "\u2581"
@@ -19,6 +20,7 @@ BLANK_BEFORE = re.compile(f"[{BLANK}] ")
 CUT = re.compile(f"(?<=[^{BLANK}])(?= )")
 # What a task remembers of distinct chunks before it starts anew; bounds memory, not results.
 KEPT_CHUNKS, KEPT_CHARACTERS = 400_000, 8_000_000
+ENCODED_AT_ONCE = 4096
 
 
 def cut(text: str) -> list[str]:
@@ -69,6 +71,13 @@ def json_tokenizer(content: bytes, plain_specials: bool = False) -> Any:
     return tokenizer
 
 
+def ids_of(tokenizer: Any, texts: list[str]) -> Iterator[list[int]]:
+    """Ids of each text without added tokens; the library's results, far larger than the ids, are let go in between."""
+    for at in range(0, len(texts), ENCODED_AT_ONCE):
+        for encoded in tokenizer.encode_batch(texts[at: at + ENCODED_AT_ONCE], add_special_tokens=False):
+            yield encoded.ids
+
+
 def json_cuts_at_spaces(content: bytes) -> bool:
     """Whether the tokens of chunks are those of the text: plain byte-level words, nothing normalised."""
     spec = json.loads(content)

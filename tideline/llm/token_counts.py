@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm.buffers import slices
-from tideline.llm.chunks import Numbered, cut, json_cuts_at_spaces, json_tokenizer
+from tideline.llm.chunks import Numbered, cut, ids_of, json_cuts_at_spaces, json_tokenizer
 from tideline.llm.tables import table, whole_text, written
 from tideline.session import shared_dir
 
@@ -50,7 +50,7 @@ def counter(path: str, content: bytes) -> Callable[[list[str]], list[int]]:
     tokenizer = json_tokenizer(content)
 
     def whole(texts: list[str]) -> list[int]:
-        return [len(x.ids) for x in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return list(map(len, ids_of(tokenizer, texts)))
 
     if not json_cuts_at_spaces(content):
         return whole
