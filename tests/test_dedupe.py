@@ -1,9 +1,10 @@
+import glob
 import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from helpers import T0, as_set, brute_force, message_frame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from tideline.model import clean_schema, raw_schema
 from tideline.operators.dedupe import latest_revision
@@ -135,6 +136,33 @@ def test_replay_of_a_batch_adds_no_rows(spark, folder):
     assert scan_table(spark, folder, raw_schema()).count() == len(ROWS)
 
 
+def test_new_receipt_times_add_directories_and_known_ones_replace_them(spark, folder, monkeypatch):
+    modes, real = [], DataFrameWriter.mode
+    monkeypatch.setattr(DataFrameWriter, "mode", lambda self, mode: (modes.extend([mode] if mode else []), real(self, mode))[1])
+    write_revisions(revisions(spark, ROWS), folder)
+    write_revisions(revisions(spark, [("2", 10, 5, 2, 300)]), folder)
+    assert modes == ["append", "append"]
+    # A run that was lost halfway has left some of its rows.
+    write_revisions(revisions(spark, [("2", 10, 5, 2, 300), ("3", 70, 5, 2, 300)]), folder)
+    write_revisions(revisions(spark, ROWS), folder)
+    assert modes[2:] == ["overwrite", "overwrite"]
+    assert scan_table(spark, folder, raw_schema()).count() == len(ROWS) + 2
+    monkeypatch.setattr(raw_sink, "RECEIPTS_LOOKED_UP", 1)
+    write_revisions(revisions(spark, ROWS), f"{folder}/many")
+    assert modes[4:] == ["overwrite"]
+
+
+def test_missing_directories_are_found_without_opening_files(spark, folder, monkeypatch):
+    write_revisions(revisions(spark, ROWS + [("9", 3_600, 0, 1, 1)]), folder)
+    for file in glob.glob(f"{folder}/**/.part-*.crc", recursive=True) + glob.glob(f"{folder}/**/part-*", recursive=True):
+        with open(file, "wb") as out:
+            out.write(b"none of Spark's")
+    monkeypatch.setattr(partitions, "MAX_LISTED_PATHS", 1)
+    scan_partitions(spark, folder, seconds_frame(spark, [T0, T0 + 3_600]))
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        scan_partitions(spark, folder, seconds_frame(spark, [T0, T0 + 600, T0 + 3_600]))
+
+
 def older_layout(spark, root):
     # Written leaf by leaf: Spark itself cannot write one partition name twice. Counts are INT there.
     for minute, rt, rows in (("00", 100, ROWS[:1]), ("00", 200, ROWS[1:3]), ("01", 100, ROWS[3:]), ("02", 100, ROWS[3:])):
