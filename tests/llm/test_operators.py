@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tideline.llm import language, near_dedup, pages, secrets, suffixes, toxicity, urls
+from tideline.llm import decontaminate, language, near_dedup, pages, secrets, suffixes, toxicity, urls
 from tideline.llm.decontaminate import contamination, keep_uncontaminated
 from tideline.llm.exact_dedup import exact_duplicates, keep_first_copies
 from tideline.llm.pieces import default_model, encode_texts
@@ -490,6 +490,37 @@ def test_sketch_of_a_sample_finds_the_same(spark, monkeypatch):
     assert {(r.doc_id, i) for r in contamination(docs, items).collect() for i in r["items"]} == whole
 
 
+def test_directions_come_from_all_rows(spark, monkeypatch):
+    random.seed(3)
+    vocabulary = [f"w{i}" for i in range(300)]
+    texts = [" ".join(random.choices(vocabulary, k=random.randint(0, 150))) for _ in range(400)]
+    query = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(3)
+    features = query.mapInArrow(decontaminate.featurize([]), "id long, features binary, short array<bigint>").persist()
+    found = []
+    # Also where a task passes on several shares, and where no or every feature is summed word by word.
+    for rows, many in ((50_000, 24), (20, 24), (50_000, 0), (50_000, 10**9)):
+        monkeypatch.setattr(decontaminate, "SKETCH_ROWS", rows)
+        monkeypatch.setattr(decontaminate, "MANY_WORDS", many)
+        found.append(decontaminate.latent_space(features))
+    weights, space = found[0]
+    for other in found[1:]:
+        assert (other[0] == weights).all()
+        # Directions are held against each other by the lengths and angles they give.
+        assert np.abs(other[1] @ other[1].T - space @ space.T).max() < 1e-3 * np.abs(space @ space.T).max()
+    passages = [np.frombuffer(r.features, np.uint16)[k:k + 24] for r in features.collect() for k in range(0, len(r.features) // 2, 24)]
+    rows = np.zeros((len(passages), decontaminate.FEATURES))
+    for row, words in zip(rows, passages, strict=True):
+        np.add.at(row, words, weights[words])
+        row /= np.sqrt((weights[words] ** 2).sum())
+    probe = np.random.default_rng(20240101).standard_normal((decontaminate.FEATURES, decontaminate.RANK))
+    shares = features.select("features").mapInArrow(decontaminate.sketcher(weights, probe), "block long, part binary").collect()
+    sketch = np.zeros((decontaminate.FEATURES // 256, 256 * decontaminate.RANK))
+    for r in shares:
+        sketch[r.block] += np.frombuffer(r.part, np.float64)
+    whole = rows.T @ (rows @ probe)
+    assert np.abs(sketch.reshape(whole.shape) - whole).max() < 1e-4 * np.abs(whole).max()
+
+
 def test_words_with_few_letters_left_are_restored(spark):
     restorer = toxicity.Restorer(toxicity.character_model(spark.read.parquet(f"{MIDDLE}/documents.parquet")))
     for disguised, word in {"w0r7hl355": "worthless", "7r4$h": "trash", "1d10t": "idiot", "l0$3r": "loser", "$7up1d": "stupid"}.items():

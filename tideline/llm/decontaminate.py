@@ -32,7 +32,9 @@ COMMON_SHARE = 0.5
 ANSWER_WORDS, ANSWER_SHARE = 8, 0.5
 FEWEST_WORDS = 6
 BENCHMARK_BLOCK = 2000
-# The latent space is fitted on about this many rows, drawn by the hash of their text; all rows are searched in it.
+# The sketch sums words of a feature with more of them than this in a slice by a product of matrices.
+MANY_WORDS = 24
+# A task passes on its share of the sketch, which covers all rows, after so many of them and at its end.
 SKETCH_ROWS = 50_000
 
 
@@ -146,29 +148,58 @@ def count_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     yield pa.record_batch({"feature": np.append(some, -1).astype(np.int64), "n": np.append(total[some], passages).astype(np.int64)})
 
 
+def add_by_feature(total: np.ndarray, latent: np.ndarray, features: np.ndarray, whose: np.ndarray) -> None:
+    """Add to the row of each word's feature in `total` the row of `latent` of its passage, `whose`.
+
+    Features with many words are counted by passage and multiplied, the others summed word by word.
+    """
+    order = np.argsort(features, kind="stable")
+    begin = np.flatnonzero(np.append(True, features[order[1:]] != features[order[:-1]]))
+    size = np.diff(np.append(begin, len(order)))
+    feature, many = features[order[begin]], size > MANY_WORDS
+    if many.any():
+        place = np.full(FEATURES, -1, np.int64)
+        place[feature[many]] = np.arange(many.sum())
+        at = place[features]
+        pairs = at[at >= 0] * len(latent) + whose[at >= 0]
+        counts = np.bincount(pairs, minlength=many.sum() * len(latent)).astype(np.float32)
+        total[feature[many]] += counts.reshape(-1, len(latent)) @ latent
+    begin, size, feature = begin[~many], size[~many], feature[~many]
+    if len(begin):
+        by_size = np.argsort(-size, kind="stable")
+        begin, size, feature = begin[by_size], size[by_size], feature[by_size]
+        part = np.zeros((len(begin), latent.shape[1]), np.float32)
+        for k in range(size[0]):
+            some = np.searchsorted(-size, -k)  # features with more than k words
+            part[:some] += latent[whose[order[begin[:some] + k]]]
+        total[feature] += part
+
+
 def sketcher(weights: np.ndarray, probe: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The task's share of A'(A W), as rows (block, values) of 256 features each."""
 
+    def share(total: np.ndarray) -> pa.RecordBatch:
+        return blocks_of(dict(enumerate((total * weights[:, None]).reshape(FEATURES // 256, -1))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weighted = (probe * weights[:, None]).astype(np.float32)
         square = (weights * weights).astype(np.float32)
         total = np.zeros((FEATURES, RANK))
-        seen = False
-        for _, features, first in feature_rows(batches, 1 << 16):
+        rows = 0
+        for batch, features, first in feature_rows(batches, 1 << 16):
             if not len(features):
                 continue
-            seen = True
+            rows += batch.num_rows
             starts, _ = block_starts(first, PASSAGE)
             latent = block_sums(weighted, features, starts, PASSAGE)
             latent /= np.maximum(np.add.reduceat(square[features], starts), 1e-9)[:, None]
             whose = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(features))))
-            order = np.argsort(features, kind="stable")
-            ordered = features[order]
-            begin = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
-            total[ordered[begin]] += np.add.reduceat(latent[whose[order]], begin, axis=0)
-        if seen:
-            total *= weights[:, None]
-            yield blocks_of({i: x for i, x in enumerate(total.reshape(FEATURES // 256, -1))})
+            add_by_feature(total, latent, features, whose)
+            if rows >= SKETCH_ROWS:
+                yield share(total)
+                total[:], rows = 0, 0
+        if rows:
+            yield share(total)
 
     return run
 
@@ -194,9 +225,7 @@ def add_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def latent_space(features: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """idf weight of each feature, and the matrix that takes weighted words to scaled latent vectors.
 
-    Weights count the passages of all rows. The directions, an index for the search, come from the rows
-    whose features hash below a bound that lets about `SKETCH_ROWS` through; up to that many, all do.
-    The driver gets sums of fixed size only: 2**13 counts and 2**13 rows of 64 numbers.
+    Weights and directions come from the passages of all rows. The driver gets sums of fixed size only: 2**13 counts and 2**13 rows of 64 numbers.
     """
     counts = {r.feature: r.n for r in features.select("features").mapInArrow(
         count_features, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect()}
@@ -206,9 +235,7 @@ def latent_space(features: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         weights[feature] = np.log((passages + 1) / (n + 1)) + 1
     probe = np.random.default_rng(20240101).standard_normal((FEATURES, RANK))
     width = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(-(-features.count() // SKETCH_ROWS), 1)
-    drawn = features.where(F.pmod(F.xxhash64("features"), F.lit(parts)) == 0)
-    shares = drawn.select("features").mapInArrow(sketcher(weights, probe), "block long, part binary")
+    shares = features.select("features").mapInArrow(sketcher(weights, probe), "block long, part binary")
     salted = shares.withColumn("salt", F.spark_partition_id() % 16).repartition(width, "block", "salt").drop("salt")
     summed = salted.mapInArrow(add_blocks, "block long, part binary").repartition(width, "block").mapInArrow(
         add_blocks, "block long, part binary")
