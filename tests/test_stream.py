@@ -7,9 +7,9 @@ import time
 
 import pytest
 from helpers import T0, as_set, brute_force, message_frame
-from pyspark.sql import functions as F
+from pyspark.sql import Row, functions as F
 
-from tideline.model import LATE_MESSAGE, SESSION, clean_schema, raw_schema
+from tideline.model import LATE_MESSAGE, REVISION, SESSION, clean_schema, raw_schema
 from tideline.operators.dedupe import latest_revision
 from tideline.operators.observe import (
     MESSAGES,
@@ -20,7 +20,7 @@ from tideline.operators.observe import (
     record_metrics,
 )
 from tideline.operators.reconcile import reconcile
-from tideline.plans import pipeline
+from tideline.plans import pipeline, replay
 from tideline.plans.notice_job import run_dedupe_on_notice
 from tideline.plans.pipeline import UNTIL_DONE, run_pipeline, run_quarantine
 from tideline.plans.replay import replay_final, replay_rows
@@ -29,6 +29,7 @@ from tideline.sources.notices import read_notices
 from tideline.sources.partitions import scan_table
 from tideline.streaming.minutes import minute_totals
 from tideline.streaming.native import native_final_sessions
+from tideline.streaming.processor import PACKED, PackedRevisions, unpacked
 from tideline.streaming.revisions import final_sessions
 
 DAY = 86_400
@@ -185,6 +186,26 @@ def test_failed_batch_is_replayed_without_doubling(spark, folder, monkeypatch):
     assert read_notices(spark, job.notices).count() == 1
 
 
+def test_revisions_of_a_key_leave_the_state_as_one_text(spark):
+    names = ["", "a", 'quote " and \\ \n', "\u00e9\U0001f600", "n" * 60_000]
+    rows = [
+        Row(sessionId="k", sessionLengthSeconds=i, messageCount={n: 2**40 + i for n in names[:i % 6]}, session_start=T0 + i,
+            pane="late", late_sec=None if i % 2 else 2**40, watermark_ms=None if i % 3 else 2**41) for i in range(1_500)
+    ]
+    operator = PackedRevisions(60, 0)
+    packed = list(operator._packed(("k",), iter(rows)))
+    assert len(packed) == 2 and list(operator._packed(("k",), iter(()))) == []
+    found = unpacked(spark.createDataFrame(packed, PACKED))
+    assert found.schema.names == REVISION.fieldNames()
+    assert sorted(found.collect(), key=lambda r: r.session_start) == rows
+
+
+def test_state_partitions_of_a_replay_follow_the_messages(spark, monkeypatch):
+    assert replay._streaming_conf(spark, spark.range(500))["spark.sql.shuffle.partitions"] == "4"
+    monkeypatch.setattr(replay, "MESSAGES_PER_STATE", 50)
+    assert replay._streaming_conf(spark, spark.range(501))["spark.sql.shuffle.partitions"] == "11"
+
+
 def test_early_panes(spark, folder):
     job = Job(spark, folder, early=True)
     assert [r[0] for r in job.step(*ON_TIME)] == ["early"]

@@ -15,6 +15,9 @@ from tideline.session import STREAMING_CONF, settings, shared_dir
 from tideline.sources.messages import stream_messages
 from tideline.streaming.revisions import final_sessions, with_receipt_time
 
+# All messages of a replay that one state partition takes.
+MESSAGES_PER_STATE = 250_000
+
 
 def replay_revisions(messages: DataFrame, gap: int = GAP_SECONDS) -> DataFrame:
     """Revisions a two-wave arrival leaves behind (a column `wave`, 1 or 2), as a batch query.
@@ -34,10 +37,12 @@ def _land(messages: DataFrame, wave: int, landing: str) -> None:
     rows.write.mode("append").parquet(landing)
 
 
-def _streaming_conf(spark: SparkSession) -> dict[str, str]:
-    # State partitions are fixed at a query's first start: one per core.
-    cores = str(spark.sparkContext.defaultParallelism)
-    return {**STREAMING_CONF, "spark.sql.shuffle.partitions": cores}
+def _streaming_conf(spark: SparkSession, messages: DataFrame) -> dict[str, str]:
+    # State partitions are fixed at a query's first start: one per core, more of them for many messages. What the
+    # timers of a partition give in a micro-batch is held in Python memory until the last one.
+    cores = spark.sparkContext.defaultParallelism
+    states = max(cores, -(-messages.count() // MESSAGES_PER_STATE))
+    return {**STREAMING_CONF, "spark.sql.shuffle.partitions": str(states)}
 
 
 def replay_stream(
@@ -57,7 +62,7 @@ def replay_stream(
     """
     base = shared_dir(spark, "replay")
     landing, raw, notices, clean = (f"{base}/{d}" for d in ("landing", "raw", "notices", "clean"))
-    with settings(spark, _streaming_conf(spark)):
+    with settings(spark, _streaming_conf(spark, messages)):
         for wave in range(1, waves + 1):
             _land(messages, wave, landing)
             query = run_pipeline(
@@ -86,7 +91,7 @@ def replay_rows(
         # One directory per micro-batch: a replay replaces it.
         batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    with settings(spark, _streaming_conf(spark)):
+    with settings(spark, _streaming_conf(spark, messages)):
         for wave in range(1, waves + 1):
             _land(messages, wave, landing)
             rows = build(stream_messages(spark, landing))

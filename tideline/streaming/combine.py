@@ -20,8 +20,8 @@ ARROW = pa.schema([
 # With `first_ms`, when the first message of a row came in, for panes that gather changes.
 TIMED = pa.field("first_ms", pa.int64())
 # What a task buffers before it merges; bounds memory, not results.
-BUFFERED_ROWS = 500_000
-BUFFERED_BYTES = 256 << 20
+BUFFERED_ROWS = 100_000
+BUFFERED_BYTES = 32 << 20
 
 
 def _merge(tables: list[pa.Table]) -> pa.Table:

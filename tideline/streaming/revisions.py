@@ -9,13 +9,12 @@ from tideline.model import (
     ALLOWED_LATENESS_SECONDS,
     GAP_SECONDS,
     MAX_SKEW_SECONDS,
-    REVISION,
     SESSION,
 )
 from tideline.operators.guards import accepted
 from tideline.operators.observe import observe_messages, observe_revisions
 from tideline.streaming.combine import combine_messages
-from tideline.streaming.processor import SessionRevisions
+from tideline.streaming.processor import PACKED, PackedRevisions, unpacked
 
 
 def session_revisions(
@@ -47,13 +46,13 @@ def session_revisions(
         combine_messages(good, "clock_ts" if pane_delay else None)
         .groupBy("session_id")
         .transformWithState(
-            SessionRevisions(gap, lateness, early, final_only, pane_delay),
-            outputStructType=REVISION,
+            PackedRevisions(gap, lateness, early, final_only, pane_delay),
+            outputStructType=PACKED,
             outputMode=output_mode,
             timeMode="EventTime",
         )
     )
-    return observe_revisions(revisions)
+    return observe_revisions(unpacked(revisions))
 
 
 def with_receipt_time(revisions: DataFrame) -> DataFrame:
