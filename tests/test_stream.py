@@ -203,7 +203,7 @@ def test_revisions_of_a_key_leave_the_state_as_one_text(spark):
 def test_state_partitions_of_a_replay_follow_the_messages(spark, monkeypatch):
     assert replay._streaming_conf(spark, spark.range(500))["spark.sql.shuffle.partitions"] == "4"
     monkeypatch.setattr(replay, "MESSAGES_PER_STATE", 50)
-    assert replay._streaming_conf(spark, spark.range(501))["spark.sql.shuffle.partitions"] == "11"
+    assert replay._streaming_conf(spark, spark.range(401))["spark.sql.shuffle.partitions"] == "12"
 
 
 def test_early_panes(spark, folder):
