@@ -10,6 +10,7 @@ import time
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -521,6 +522,29 @@ def test_directions_come_from_all_rows(spark, monkeypatch):
     assert np.abs(sketch.reshape(whole.shape) - whole).max() < 1e-4 * np.abs(whole).max()
 
 
+def test_answer_words_are_looked_up_once_a_window(spark, monkeypatch):
+    words = [f"w{i}" for i in range(60)]
+    query = spark.createDataFrame([(1, " ".join(words))], "id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(words[k:] + words[:k])) for k in range(4)], "id long, text string")
+    wanted, features = (
+        x.mapInArrow(decontaminate.featurize([]), "id long, features binary, short array<bigint>") for x in (query, docs))
+    weights, space = decontaminate.latent_space(features)
+    bench = decontaminate.Benchmark([(r.id, np.frombuffer(r.features, np.uint16)) for r in wanted.collect()], weights, space)
+    gathered = []
+
+    def counted(features, first, starts, row):
+        gathered.append(len(starts))
+        return surroundings(features, first, starts, row)
+
+    surroundings = decontaminate.surroundings
+    monkeypatch.setattr(decontaminate, "surroundings", counted)
+    rows = features.withColumn("row", F.monotonically_increasing_id()).coalesce(1).toArrow().to_batches()
+    found = pa.Table.from_batches(decontaminate.searcher(bench, weights, space)(iter(rows)))
+    assert found.column("items").to_pylist() == [[1]] * 4
+    # One slice: the windows are gathered once for the answer words and once for the subsequence.
+    assert len(gathered) == 2
+
+
 def test_words_with_few_letters_left_are_restored(spark):
     restorer = toxicity.Restorer(toxicity.character_model(spark.read.parquet(f"{MIDDLE}/documents.parquet")))
     for disguised, word in {"w0r7hl355": "worthless", "7r4$h": "trash", "1d10t": "idiot", "l0$3r": "loser", "$7up1d": "stupid"}.items():

@@ -360,7 +360,8 @@ def searcher(bench: Benchmark, weights: np.ndarray, space: np.ndarray) -> Callab
         near, chunk, value = (np.concatenate(x) for x in zip(*met, strict=True)) if met else (np.zeros(0, np.int64),) * 3
         _, once = np.unique(near * len(bench.size) + chunk, return_index=True)
         near, chunk, value = at[near[once]], chunk[once], value[once]
-        near, chunk, value = (x[answered(features, first, starts[near], row[near], chunk)] for x in (near, chunk, value))
+        passed = answered(features, first, starts[near], row[near], chunk)
+        near, chunk, value = near[passed], chunk[passed], value[passed]
         share = np.zeros(len(near))
         for low in range(0, len(near), 4096):
             n, c = near[low: low + 4096], chunk[low: low + 4096]
