@@ -61,3 +61,27 @@ def test_task_that_fills_its_buffer_many_times(spark):
     )
     rows = combine.combine_messages(many).collect()
     assert len(rows) == 7 and sum(r.n for r in rows) == 1_600_000
+
+
+def test_packed_rows_hold_what_the_rows_hold(spark, monkeypatch):
+    monkeypatch.setattr(combine, "ROWS_PER_PACK", 7)
+    messages = spark.range(0, 6_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k\u00e9"), F.col("id") % 200)).alias("session_id"),
+        F.when(F.col("id") % 5 > 0, F.concat(F.lit('a"\\'), F.col("id") % 4)).alias("message_name"),
+        (F.col("id") % 97 - 40).alias("event_sec"),
+        F.when(F.col("id") % 11 > 0, F.timestamp_seconds(F.col("id"))).alias("clock"),
+    )
+    for clock in (None, "clock"):
+        wanted = [tuple(r) for r in combine.combine_messages(messages, clock).collect()]
+        packed = [tuple(r) for r in combine.pack_messages(messages, clock).collect()]
+        assert sorted(combine.unpacked_messages(packed, bool(clock)), key=str) == sorted(wanted, key=str)
+        assert max(len(p[2]) for p in packed) <= 7 * 8 * (3 if clock else 2)
+    assert list(combine._packed(iter(()))) == []
+
+
+def test_a_key_comes_into_the_state_operator_as_few_rows(spark):
+    messages = spark.range(0, 8_000, 1, 16).select(
+        (F.col("id") % 20).cast("string").alias("session_id"), F.lit("a").alias("message_name"), F.col("id").alias("event_sec"))
+    packed = combine.pack_messages(messages).groupBy("session_id").count().collect()
+    assert len(packed) == 20 and max(r["count"] for r in packed) <= combine.PACKERS
+    assert combine.combine_messages(messages).count() == 8_000

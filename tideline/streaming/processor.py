@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tideline.model import REVISION
+from tideline.streaming.combine import unpacked_messages
 from tideline.streaming.index import PAGE, PAGE_KEY, ROOT, Session, SessionStore, earliest
 
 
@@ -166,7 +167,7 @@ ROWS_PER_TEXT = 1_000
 
 
 class PackedRevisions(SessionRevisions):
-    """The same rows, up to 1,000 that a call gives as one JSON text; `unpacked` makes rows of it.
+    """The same rows from those of `pack_messages`, up to 1,000 that a call gives as one JSON text; `unpacked` makes rows of it.
 
     Spark's worker holds what the timers of a partition give until the last one, and makes an Arrow batch of what
     each key gives. A text takes about a tenth of the memory of its rows and is a single field on its way.
@@ -176,13 +177,14 @@ class PackedRevisions(SessionRevisions):
         while some := list(islice(rows, ROWS_PER_TEXT)):
             # Names are values, not field names, whose length readers of JSON limit.
             found = [
-                {"l": r.sessionLengthSeconds, "k": list(r.messageCount), "n": list(r.messageCount.values()),
-                 "s": r.session_start, "p": r.pane, "e": r.late_sec, "w": r.watermark_ms} for r in some
+                {"l": length, "k": list(counts), "n": list(counts.values()), "s": start, "p": pane, "e": late, "w": watermark}
+                for _, length, counts, start, pane, late, watermark in some
             ]
             yield Row(sessionId=key[0], revisions=json.dumps(found, separators=(",", ":")))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        return self._packed(key, super().handleInputRows(key, rows, timerValues))
+        messages = unpacked_messages(rows, bool(self.pane_delay))
+        return self._packed(key, super().handleInputRows(key, messages, timerValues))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         return self._packed(key, super().handleExpiredTimer(key, timerValues, expiredTimerInfo))

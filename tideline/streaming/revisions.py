@@ -13,7 +13,7 @@ from tideline.model import (
 )
 from tideline.operators.guards import accepted
 from tideline.operators.observe import observe_messages, observe_revisions
-from tideline.streaming.combine import combine_messages
+from tideline.streaming.combine import pack_messages
 from tideline.streaming.processor import PACKED, PackedRevisions, unpacked
 
 
@@ -43,7 +43,7 @@ def session_revisions(
     good = accepted(observe_messages(messages, max_skew), max_skew)
     good = good.withColumn("clock_ts", clock_ts).withWatermark("clock_ts", "0 seconds")
     revisions = (
-        combine_messages(good, "clock_ts" if pane_delay else None)
+        pack_messages(good, "clock_ts" if pane_delay else None)
         .groupBy("session_id")
         .transformWithState(
             PackedRevisions(gap, lateness, early, final_only, pane_delay),
