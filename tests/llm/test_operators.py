@@ -522,6 +522,40 @@ def test_directions_come_from_all_rows(spark, monkeypatch):
     assert np.abs(sketch.reshape(whole.shape) - whole).max() < 1e-4 * np.abs(whole).max()
 
 
+def test_every_passage_has_its_share_in_weights_and_directions(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SKETCH_ROWS", 100)  # fewer than there are
+    random.seed(4)
+    vocabulary = [f"w{i}" for i in range(500)]
+    texts = [" ".join(random.choices(vocabulary, k=random.randint(0, 600))) for _ in range(300)]
+    features = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(5).mapInArrow(
+        decontaminate.featurize([]), "id long, features binary, short array<bigint>").persist()
+    weights, space = decontaminate.latent_space(features)
+    passages = [np.frombuffer(r.features, np.uint16)[k:k + 24] for r in features.collect() for k in range(0, len(r.features) // 2, 24)]
+    n = np.zeros(decontaminate.FEATURES)
+    for words in passages:
+        n[np.unique(words)] += 1
+    expected = np.log((len(passages) + 1) / (n + 1)) + 1
+    assert np.abs(weights - expected).max() < 1e-12
+
+    def directions(passages):
+        rows = np.zeros((len(passages), decontaminate.FEATURES))
+        for row, words in zip(rows, passages, strict=True):
+            np.add.at(row, words, weights[words])
+            row /= np.sqrt((weights[words] ** 2).sum())
+        probe = np.random.default_rng(20240101).standard_normal((decontaminate.FEATURES, decontaminate.RANK))
+        sketch = rows.T @ (rows @ probe)
+        core = probe.T @ sketch
+        factor = np.linalg.cholesky((core + core.T) / 2 + 1e-9 * np.trace(core) * np.eye(decontaminate.RANK))
+        left, values, _ = np.linalg.svd(np.linalg.solve(factor, sketch.T).T, full_matrices=False)
+        return left / np.maximum(values, 1e-6 * values[0])
+
+    def apart(other):
+        return np.abs(space @ space.T - other @ other.T).max() / np.abs(other @ other.T).max()
+
+    # One passage left out shows, so nothing less than all of them was used.
+    assert apart(directions(passages)) < 1e-4 < 1e-3 < apart(directions(passages[1:]))
+
+
 def test_answer_words_are_looked_up_once_a_window(spark, monkeypatch):
     words = [f"w{i}" for i in range(60)]
     query = spark.createDataFrame([(1, " ".join(words))], "id long, text string")
