@@ -3,7 +3,10 @@
 import collections
 import hashlib
 import math
+import subprocess
+import sys
 import tempfile
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -257,3 +260,26 @@ def test_keys_sort_like_the_stream():
 
 def test_cutting():
     assert chunks.cut("") == [] and chunks.cut(" a  b c") == [" a", "  b", " c"] and chunks.cut("a\n b ") == ["a\n b", " "]
+
+
+def test_a_worker_keeps_nothing_of_the_tokenizers_of_earlier_tasks():
+    code = """
+import random, re, sys
+from tideline.llm.chunks import ids_of, json_tokenizer
+
+content = open(sys.argv[1], "rb").read()
+pick = random.Random(1)
+words = [" " + "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=9)) for _ in range(15_000)]
+
+def held():
+    return sum(map(int, re.findall(r"Anonymous: +([0-9]+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+for task in range(24):
+    sum(map(len, ids_of(json_tokenizer(content), words)))
+    if task == 5:
+        before = held()
+print(held() - before)
+"""
+    root = str(Path(__file__).parents[2])
+    ran = subprocess.run([sys.executable, "-c", code, BYTES], capture_output=True, text=True, cwd=root, check=True)
+    assert float(ran.stdout) < 20

@@ -59,7 +59,8 @@ class Numbered:
 def json_tokenizer(content: bytes, plain_specials: bool = False) -> Any:
     """A tokenizer of the `tokenizers` library, without truncation and padding.
 
-    `plain_specials` reads the strings of special tokens inside texts as plain text.
+    `plain_specials` reads the strings of special tokens inside texts as plain text. The library's cache of
+    words is off: it outlives its tokenizer, so a worker would keep one for each task it has run.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -68,6 +69,8 @@ def json_tokenizer(content: bytes, plain_specials: bool = False) -> Any:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     tokenizer.encode_special_tokens = plain_specials
+    if hasattr(tokenizer.model, "_resize_cache"):
+        tokenizer.model._resize_cache(0)
     return tokenizer
 
 
