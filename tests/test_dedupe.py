@@ -12,6 +12,7 @@ from tideline.operators.reconcile import reconcile
 from tideline.plans.dedupe_job import dedupe, dedupe_legacy, deduplicated, rewrite
 from tideline.plans.reconcile_job import reconcile_days
 from tideline.plans.replay import replay_revisions
+from tideline.session import settings
 from tideline.sinks import raw as raw_sink
 from tideline.sinks.clean import write_clean
 from tideline.sinks.raw import touched_minutes, write_revisions
@@ -275,3 +276,39 @@ def test_reconcile_job_rewrites_touched_days_only(spark, folder, grain):
     reconcile_days(spark, folder, seconds_frame(spark, [T0 + 5 * day]), grain)
     spark.catalog.refreshByPath(folder)
     assert len(keys(scan_table(spark, folder, clean_schema(grain)))) == 3
+
+
+def test_minutes_come_from_the_directories_alone(spark, folder):
+    write_revisions(revisions(spark, ROWS + [("9", 3_600, 0, 1, 1)]), folder)
+    minutes = touched_minutes(scan_table(spark, folder, raw_schema()))
+    for path in glob.glob(f"{folder}/y=*/**/*.parquet", recursive=True):
+        open(path, "wb").close()
+    with settings(spark, partitions.FROM_THE_LISTING):
+        minutes = minutes.persist()
+    assert sorted(r.minute for r in minutes.collect()) == [T0, T0 + 60, T0 + 3_600]
+    minutes.unpersist()
+
+
+def test_all_hours_of_a_table_are_listed_by_one_job(spark, folder):
+    spread = [("1", hour * 3_600 + minute * 60, 0, 1, 1) for hour in range(3) for minute in range(40)]
+    write_revisions(revisions(spark, spread), folder)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        rows = scan_table(spark, folder, raw_schema())
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(tracker.getJobIdsForGroup("listing")) <= 1
+    assert keys(rows) == sorted((s, start, rt) for s, start, _, _, rt in spread)
+    assert keys(rows.where("h = '01'")) == sorted((s, start, rt) for s, start, _, _, rt in spread if start // 3_600 == 1)
+
+
+def test_an_empty_dataset_of_minutes_is_read_as_empty(spark, folder):
+    assert scan_table(spark, folder, raw_schema()).count() == 0
+
+
+def test_many_directories_are_dealt_over_more_tasks(spark, monkeypatch):
+    df = revisions(spark, [("1", 60 * k, 0, 1, 1) for k in range(100)]).withColumn("minute", F.col("session_start"))
+    assert raw_sink.clustered(df).rdd.getNumPartitions() == 5
+    monkeypatch.setattr(raw_sink, "MOST_DIRECTORIES_PER_TASK", 10)
+    assert raw_sink.clustered(df).rdd.getNumPartitions() >= 9
