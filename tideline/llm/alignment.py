@@ -19,6 +19,8 @@ from tideline.llm.tables import table, whole_text, written
 
 BLOCK_BYTES = 2 << 20
 SHIFT = 32
+# A block's row has megabytes, so a page ends after each: buffers outside the heap are as large as a page, which else has 100 rows.
+PAGE_A_ROW = {"parquet.page.size.row.check.min": "1", "parquet.page.size.row.check.max": "1"}
 GROUPS = "start long, end long, a array<int>, b array<int>"
 
 
@@ -270,7 +272,7 @@ def align_texts(docs: DataFrame, json_path: str, model_path: str, id_column: str
         docs.select(F.col(id_column).alias("id"), whole_text(text_column).alias("text")).mapInArrow(
             aligned_blocks(*files, to_arrow_type(docs.schema[id_column].dataType)),
             f"block bigint, ids array<{kind}>, {numbers}, shas array<string>, chunk_of binary, links binary, pair_of binary"),
-        "aligned")
+        "aligned", **PAGE_A_ROW)
     pairs = blocks.select("block", F.explode(F.arrays_zip("pairs", "pair_n")).alias("p")).select(
         "block", F.col("p.pairs").alias("pair"), "p.pair_n")
     counted = pairs.select("block", "pair").join(link_counts(pairs), "pair").select(

@@ -14,11 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, purpose: str) -> DataFrame:
+def written(df: DataFrame, purpose: str, **options: str) -> DataFrame:
     """The rows as a table in the shared folder: computed once, and lost with no executor."""
     spark = df.sparkSession
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
